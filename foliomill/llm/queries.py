@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, spm
 from .common import table
 
 
@@ -16,5 +16,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_simhash": op3_simhash}
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = spm.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return spm.digests(spm.decode(coded, path))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_simhash": op3_simhash, "op5_sentencepiece": op5_sentencepiece}
 SQL: dict[str, str] = {}
