@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, spm
+from . import decontam, simhash, spm
 from .common import table
 
 
@@ -16,6 +16,37 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP4_SQL = r"""
+WITH item AS (
+  SELECT item_id, w, least(len(w), 13) AS need FROM (
+    SELECT CAST(item_id AS VARCHAR) AS item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark) WHERE len(w) > 0),
+gram AS (
+  SELECT DISTINCT item_id, need, array_to_string(w[i:i + need - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - need + 2)) AS i FROM item)),
+doc AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+size AS (SELECT DISTINCT need FROM gram),
+hit AS (
+  SELECT k, i, d.need, item_id
+  FROM (SELECT k, w, need, unnest(range(1, len(w) - need + 2)) AS i FROM doc, size) d
+  JOIN gram g ON g.need = d.need AND g.g = array_to_string(w[i:i + d.need - 1], ' ')),
+word AS (SELECT k, count(*) AS n FROM (SELECT DISTINCT k, unnest(range(i, i + need)) AS p FROM hit) GROUP BY k),
+ids AS (SELECT k, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS s FROM hit GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(word.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(ids.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids.s, '')) AS items_sha256, coalesce(word.n, 0) > 0 AND 20 * coalesce(word.n, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (k) LEFT JOIN ids USING (k)
+""".replace("\\\\", "\\")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -24,5 +55,5 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.digests(spm.decode(coded, path))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_simhash": op3_simhash, "op5_sentencepiece": op5_sentencepiece}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece}
+SQL: dict[str, str] = {"op4_decontamination": OP4_SQL}
