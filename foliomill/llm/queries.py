@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, simhash, spm
+from . import decontam, secrets, simhash, spm
 from .common import table
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = secrets.joined(F.filter("spans", lambda s: s["kind"] != "markov"))
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), of("markov"), F.sha2(base, 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -55,5 +62,5 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.digests(spm.decode(coded, path))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece}
 SQL: dict[str, str] = {"op4_decontamination": OP4_SQL}
