@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, secrets, sharding, simhash, spm
+from . import decontam, rules, secrets, sharding, simhash, spm
 from .common import table
 
 
@@ -62,10 +62,15 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.digests(spm.decode(coded, path))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op9_sharding": op9_sharding}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op7_quality_rules": op7_quality_rules, "op9_sharding": op9_sharding}
 SQL: dict[str, str] = {"op4_decontamination": OP4_SQL}
