@@ -7,10 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, rules, secrets, sharding, simhash, spm
+from . import chat, decontam, rules, secrets, sharding, simhash, spm
 from .common import table
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_conversations(own.unionByName(more)))
+
+
+OP1_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, length(regexp_replace(regexp_replace(role, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g'))
+          + length(regexp_replace(regexp_replace(text, '(<)(\\*/?s>)', '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g'))
+          + length('<s>[INST]  [/INST] </s>' || chr(10)) AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -72,5 +97,5 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op7_quality_rules": op7_quality_rules, "op9_sharding": op9_sharding}
-SQL: dict[str, str] = {"op4_decontamination": OP4_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op7_quality_rules": op7_quality_rules, "op9_sharding": op9_sharding}
+SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL}
