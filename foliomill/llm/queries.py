@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, quality, rules, secrets, sharding, simhash, spm
+from . import chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm
 from .common import held_out, stored, table
 
 
@@ -110,5 +110,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lmscore.score(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score}
 SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL}
