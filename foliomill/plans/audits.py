@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, quality
@@ -16,8 +16,6 @@ s AS (SELECT doc, place, n, CAST(1 + sum(falls) OVER (PARTITION BY doc ORDER BY
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order is a document, its line numbers in order of parts the numbers of its articles."""
-    from pyspark.sql import Window
-
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity"))
     own = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc"), place.alias("place"), F.col("l_linenumber").alias("n"))
     return quality.series(own)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import cleaning, lexicon, structure
+from ..operators.metadata import unique_slugs
 from .registry import query, table
 
 
@@ -25,8 +26,6 @@ n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY p_partkey) AS n FR
 SELECT p_partkey, CASE WHEN n = 1 THEN base ELSE base || '-' || n END AS slug FROM n""")
 def slug_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "part").select(F.lit(0).alias("doc"), F.col("p_partkey").alias("place"), F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("mark"))
-    from ..operators.metadata import unique_slugs
-
     return unique_slugs(own.select("place", T.slug(F.col("mark")).alias("slug")), "place").select(F.col("place").alias("p_partkey"), "slug")
 
 
@@ -145,8 +144,8 @@ _MIXED = """SELECT doc_id, concat_ws(' ', text, replace(pair, ' ', '-'), CASE WH
 WITH d AS ({_MIXED}), f AS (SELECT word, count(*) AS n FROM (SELECT lower(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{2,}}'))) AS word FROM d) GROUP BY word),
 c AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{3,}}-[A-Za-zÀ-ÿ]{{3,}}'))) AS c FROM d),
 split AS (SELECT word, unnest(range(4, length(word) - 3)) AS i FROM f WHERE n <= 2 AND length(word) >= 12)
-SELECT word, CAST(min(i) AS INTEGER) AS at FROM split JOIN c ON c = substr(word, 1, i) || '-' || substr(word, i + 1) JOIN f a ON a.word = substr(split.word, 1, i) AND a.n >= 4 JOIN f b ON b.word = substr(split.word, i + 1) AND b.n >= 4
-GROUP BY split.word""".replace("SELECT word, CAST(min(i)", "SELECT split.word, CAST(min(i)"))
+SELECT split.word, CAST(min(i) AS INTEGER) AS at FROM split JOIN c ON c = substr(word, 1, i) || '-' || substr(word, i + 1) JOIN f a ON a.word = substr(split.word, 1, i) AND a.n >= 4 JOIN f b ON b.word = substr(split.word, i + 1) AND b.n >= 4
+GROUP BY split.word""")
 def compound_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = _mixed(spark, sf_dir)
     return lexicon.repairs(lexicon.frequencies(own), lexicon.compounds(own))
@@ -196,7 +195,7 @@ def dotted_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", own.alias("t")).select("doc_id", T.dotted_cleaned(F.col("t")).alias("text"))
 
 
-def _headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every form, made of order lines and part names."""
     n, name = F.col("l_linenumber"), F.col("p_name")
     form = F.pmod(F.col("l_partkey"), F.lit(7))
@@ -213,7 +212,7 @@ def _headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT kind, count(*) AS n FROM (SELECT CASE l_partkey % 7 WHEN 0 THEN 'titre' WHEN 1 THEN 'section' WHEN 2 THEN 'article' WHEN 3 THEN 'puce' WHEN 4 THEN 'numerote' WHEN 5 THEN 'article' ELSE 'paragraphe' END AS kind
 FROM lineitem JOIN part ON p_partkey = l_partkey) GROUP BY kind""")
 def line_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _headings(spark, sf_dir).groupBy(structure.kind(F.col("line")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return headings(spark, sf_dir).groupBy(structure.kind(F.col("line")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
