@@ -5,7 +5,7 @@ of ``TOKEN`` characters is scored with two first-order character Markov models,
 one of random strings and one of ordinary identifiers: the sum over its
 transitions of log p(b|a, random) / p(b|a, identifier).  A run whose ratio is
 ``PER_CHAR`` or more a character is a further span, of kind markov, unless it
-overlaps a base span.  Both models come from labelled samples: ``train`` takes
+lies within a base span.  Both models come from labelled samples: ``train`` takes
 any table (label, token); ``samples`` makes the default one from fixed words and
 hash digests.  The trained table has 65 x 65 entries whatever is scanned.
 
@@ -42,7 +42,7 @@ WORDS = (
 
 
 def samples(spark: SparkSession, n: int = 4000) -> DataFrame:
-    """(label, token): 1 for random strings (hex, Base64 and alphanumeric digests), 0 for identifiers of two to five words."""
+    """(label, token): 1 for random strings (hex, Base64 and alphanumeric digests), 0 for identifiers of two to five words and rules of one character."""
     words = F.split(F.lit(" ".join(WORDS)), " ")
 
     def word(i: int) -> Column:
@@ -54,8 +54,10 @@ def samples(spark: SparkSession, n: int = 4000) -> DataFrame:
     random = F.element_at(F.array(F.substring(digest, 1, 48), base, F.regexp_replace(base, "[+/]", ""), F.upper(F.regexp_replace(base, "[+/]", ""))), (F.col("k") % 4 + 1).cast("int"))
     several = F.slice(F.array(*[word(i) for i in range(5)]), 1, (F.col("k") % 4 + 2).cast("int"))
     camel = F.array_join(F.transform(several, F.initcap), "")
-    kind = F.floor(F.col("k") / 4) % 6
-    plain = F.when(kind == 0, camel).when(kind == 1, F.array_join(several, "_")).when(kind == 2, F.upper(F.array_join(several, "_"))).when(kind == 3, F.array_join(several, "-")).when(kind == 4, F.array_join(several, "/")).otherwise(F.array_join(several, ""))
+    kind = F.floor(F.col("k") / 4) % 7
+    marks = ALPHABET + "-_=."
+    rule = F.repeat(F.substring(F.lit(marks), (F.floor(F.col("k") / 28) % len(marks) + 1).cast("int"), F.lit(1)), 40)
+    plain = F.when(kind == 0, camel).when(kind == 1, F.array_join(several, "_")).when(kind == 2, F.upper(F.array_join(several, "_"))).when(kind == 3, F.array_join(several, "-")).when(kind == 4, F.array_join(several, "/")).when(kind == 5, rule).otherwise(F.array_join(several, ""))
     return row.select(F.lit(1).alias("label"), random.alias("token")).union(row.select(F.lit(0), plain))
 
 
@@ -113,7 +115,7 @@ def annotate(docs: DataFrame, model: list[float] | None = None, text_col: str =
         F.filter(placed(text, TOKEN), lambda s: ratio(F.substring(text, s["start"] + 1, s["end"] - s["start"]), table) >= PER_CHAR).alias("__token"),
     )
     found = found.withColumn("__base", F.concat(of(F.transform("__assign", lambda x: x["s"]), 0), of(F.col("__access"), 1), of(F.col("__hex"), 2)))
-    free = F.filter("__token", lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    free = F.filter("__token", lambda t: ~F.exists("__base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
     return found.withColumn("spans", F.array_sort(F.concat("__base", of(free, 3)))).drop("__assign", "__access", "__hex", "__token", "__base")
 
 
