@@ -56,7 +56,8 @@ def _block(name: str, text: Column, mark: Column) -> Column:
 
 def _fold(lines: Column, wide: Column) -> Column:
     """taken: lines that an earlier line has absorbed; joins: '' or what the last block takes in (heading, puce)."""
-    pairs = F.zip_with(lines, F.concat(F.slice(lines, 2, F.size(lines)), F.array(F.lit(""))), lambda a, b: F.struct(a.alias("line"), b.alias("next")))
+    after = F.when(F.size(lines) == 0, F.array().cast("array<string>")).otherwise(F.concat(F.slice(lines, 2, F.size(lines)), F.array(F.lit(""))))
+    pairs = F.zip_with(lines, after, lambda a, b: F.struct(a.alias("line"), b.alias("next")))
     start = F.struct(F.array().cast(f"array<{BLOCK}>").alias("done"), F.array().cast("array<string>").alias("open"), F.lit("").alias("joins"))
 
     def closed(acc: Column) -> Column:
