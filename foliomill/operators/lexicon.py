@@ -13,12 +13,13 @@ RARE, LEAST_LENGTH, LEAST_PART, COMMON = 2, 12, 4, 4
 
 def frequencies(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n): occurrences of each word in lower case."""
-    return texts.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))).alias("word")).groupBy(F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    found = texts.select(F.explode_outer(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))).alias("word")).where("word is not null")
+    return found.groupBy(F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def compounds(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """(compound): distinct hyphenated compounds in lower case."""
-    found = texts.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({COMPOUND})"), F.lit(1))).alias("compound"))
+    found = texts.select(F.explode_outer(F.regexp_extract_all(F.col(text_col), F.lit(f"({COMPOUND})"), F.lit(1))).alias("compound")).where("compound is not null")
     return found.select(F.lower("compound").alias("compound")).distinct()
 
 

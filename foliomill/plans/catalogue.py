@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import corrections, incremental, metadata, publish
+from ..sources.store import shared_dir
 from ..streaming.ingest import gained
 from .registry import query, table
 
@@ -189,8 +189,7 @@ def slug_cores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents folder as a file stream, one AvailableNow run from a fresh checkpoint; a second run adds nothing (tested)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="foliomill-")
-    own = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    own = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "labels").schema
     return gained(spark, f"{sf_dir}/labels.parquet*", schema, f"{own}/checkpoint", f"{own}/out")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import index, passages, search
+from ..sources.store import stored
 from .registry import query, table
 from .sqltext import QUESTION, STOP, tokens
 
@@ -76,8 +77,8 @@ _COVER = "raw * (0.35::DOUBLE + 0.65::DOUBLE * least(matched, useful) / useful)"
 
 
 def _scored(spark: SparkSession, sf_dir: str, own: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    docs, postings, stats = index.build(indexed(spark, sf_dir) if own is None else own)
-    terms = search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct())
+    docs, postings, stats = index.write(indexed(spark, sf_dir) if own is None else own)
+    terms = stored(search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct()), "terms")
     return search.scores(terms, docs, postings, stats), docs
 
 
@@ -108,7 +109,7 @@ def bm25_repealed_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_INDEX + _TERMS + " SELECT query, CAST(place - 1 AS INTEGER) AS place, word, term FROM term")
 def prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, postings, _ = index.build(indexed(spark, sf_dir))
+    _, postings, _ = index.write(indexed(spark, sf_dir))
     return search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct())
 
 
