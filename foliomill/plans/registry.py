@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import audits, catalogue, retrieval, structure, texts  # noqa: E402, F401
+from . import audits, catalogue, publishing, retrieval, structure, texts  # noqa: E402, F401
