@@ -42,7 +42,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = spm.decode(spm.encode(docs.select("doc_id", "text"), path), path)
+    coded = spm.round_trip(docs.select("doc_id", F.col("text"), F.col("text").alias("copy")), path, text_col="copy")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.equal_null(F.coalesce("text", F.lit("")), "decoded").alias("round_trip"))
 
 

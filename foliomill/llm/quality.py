@@ -181,10 +181,22 @@ def scored(stats: DataFrame, model: Model, column: str = "stats", to: str = "sco
     return stats.mapInArrow(run, T.StructType([*(f for f in stats.schema if f.name in kept), T.StructField(to, T.DoubleType())]))
 
 
+def rated(docs: DataFrame, model: Model, text_col: str = "text", to: str = "score") -> DataFrame:
+    """docs with the score of text_col added: statistics and score by one Python worker a task."""
+    kept = [c for c in docs.columns if c != to]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            stats = np.array([statistics(x.as_py() or "") for x in part.column(part.schema.get_field_index(text_col))], float).reshape(-1, len(NAMES))
+            score = model.score(stats) if len(stats) else np.empty(0)
+            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(score, pa.float64())], [*kept, to])
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(run, T.StructType([*(f for f in docs.schema if f.name in kept), T.StructField(to, T.DoubleType())]))
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
     """docs that score least or more, in their own columns."""
-    own = docs.columns
-    column, score = "__foliomill_stats", "__foliomill_score"
+    score = "__foliomill_score"
     model = fit(with_statistics(docs.select("doc_id", "text")), labels)
-    rated = scored(with_statistics(docs.withColumn("__foliomill_copy", F.col("text")), "__foliomill_copy", column), model, column, score)
-    return rated.where(F.col(score) >= least).select(*own)
+    return rated(docs, model, to=score).where(F.col(score) >= least).select(*docs.columns)

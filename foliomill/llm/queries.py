@@ -83,8 +83,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = spm.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return spm.digests(spm.decode(coded, path))
+    return spm.digests(spm.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

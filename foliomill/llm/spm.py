@@ -22,12 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small_batches
 
 MARK = "▁"
 #: Words kept between batches of a task; the memory bound of the cache, not of the input.
-CACHE = 1 << 19
+CACHE = 1 << 18
 NONE = np.int64(1 << 40)
 
 
@@ -228,16 +229,12 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), ids], [*kept, ids_col])
 
     small_batches(docs.sparkSession)
-    from pyspark.sql import types as T
-
     out = T.StructType([*(f for f in schema if f.name in kept), T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(run, out)
 
 
 def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """coded with text_col added: the text that its ids spell; null ids give an empty text."""
-    from pyspark.sql import types as T
-
     kept = [c for c in coded.columns if c != text_col]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +248,24 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", text_col: st
     return coded.mapInArrow(run, T.StructType([*(f for f in coded.schema if f.name in kept), T.StructField(text_col, T.StringType())]))
 
 
+def round_trip(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """docs with ids_col and decoded_col in place of the text: encoded, then decoded from the ids, by one Python worker a task."""
+    kept = [c for c in docs.columns if c not in (text_col, ids_col, decoded_col)]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(model_path)
+        for part in parts:
+            found = coder.encode([x.as_py() or "" for x in part.column(part.schema.get_field_index(text_col))])
+            flat, ends = np.frombuffer(b"".join(found), "<i4"), np.cumsum([0] + [len(x) // 4 for x in found])
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            decoded = pa.array([coder.decode(flat[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), ids, decoded], [*kept, ids_col, decoded_col])
+
+    small_batches(docs.sparkSession)
+    more = [T.StructField(ids_col, T.ArrayType(T.IntegerType())), T.StructField(decoded_col, T.StringType())]
+    return docs.mapInArrow(run, T.StructType([*(f for f in docs.schema if f.name in kept), *more]))
+
+
 def digests(coded: DataFrame, ids_col: str = "ids") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded and decoded rows."""
     import hashlib

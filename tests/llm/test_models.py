@@ -33,6 +33,8 @@ def test_quality_without_enough_labels(spark, rows):
     stats = quality.with_statistics(docs.select("doc_id", "text"))
     got = quality.scored(stats, quality.fit(stats, labels(spark, rows))).collect()
     assert len(got) == len(TEXTS) and all(0 <= r["score"] <= 1 for r in got)
+    model = quality.fit(stats, labels(spark, rows))
+    assert {(r["doc_id"], round(r["score"], 9)) for r in quality.rated(docs, model).collect()} == {(r["doc_id"], round(r["score"], 9)) for r in quality.scored(stats, model).collect()}
     kept = quality.keep_good(docs, labels(spark, rows), 0.0)
     assert kept.columns == docs.columns and kept.count() == len(TEXTS)
     assert quality.keep_good(documents(spark, [], []), labels(spark, rows)).count() == 0

@@ -57,5 +57,8 @@ def test_tables_round_trip(spark, lib):
     assert out.columns == [*docs.columns, "ids", "decoded"]
     for r in out.collect():
         assert r["ids"] == lib.encode(r["text"] or "", add_bos=True, add_eos=True) and r["decoded"] == (r["text"] or "")
+    both = spm.round_trip(docs, PATH)
+    assert both.columns == [*(c for c in docs.columns if c != "text"), "ids", "decoded"]
+    assert {(r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in both.collect()} == {(r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in out.collect()}
     assert {r["doc_id"] for r in spm.digests(out).collect()} == set(range(len(TEXTS)))
     assert spm.encode(documents(spark, [], []), PATH).count() == 0
