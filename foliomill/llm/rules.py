@@ -28,19 +28,20 @@ from .common import SPACE
 SYMBOLS = "#*$%&|<>"  # within brackets
 GRAM, LOSS, LEAST_WORDS = 8, 0.5, 20
 WORD = f"[^{SPACE}]++"
-#: Openings of boilerplate lines, in lower case.
-NOTICE = r"(?i)licensed under |all rights reserved|^copyright |terms of (use|service)|privacy policy|accept (all )?cookies|subscribe to (our|the) |sign up for |click here"
+#: Phrases of boilerplate lines, in lower case; the last only opens a line.
+NOTICES = ("licensed under ", "all rights reserved", "terms of use", "terms of service", "privacy policy", "accept cookies", "accept all cookies", "subscribe to our ", "subscribe to the ", "sign up for ", "click here")
+OPENING = "copyright "
 
 
 def word_array(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def repeated_words(words: Column, gram: int = GRAM) -> tuple[Column, Column]:
-    """The hashes of all windows of words, and, given such a column of hashes, the number of words in windows found twice or more."""
+def window_hashes(words: Column, gram: int = GRAM) -> Column:
+    """The hashes of all windows of gram words."""
     n = F.size(words)
-    hashes = F.when(n >= gram, F.transform(F.sequence(F.lit(1), F.greatest(n - gram + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, gram)))).otherwise(F.array().cast("array<bigint>"))
-    return hashes, n
+    none = F.array().cast("array<bigint>")
+    return F.when(n >= gram, F.transform(F.sequence(F.lit(1), F.greatest(n - gram + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, gram)))).otherwise(none)
 
 
 def union_of(sorted_windows: Column, gram: int = GRAM) -> Column:
@@ -64,13 +65,21 @@ def of_class(text: Column, kind: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{kind}]++", ""))
 
 
-def failing(line: Column) -> Column:
-    """The line rules; a line without a word passes."""
-    words = F.regexp_count(line, F.lit(WORD))
-    letters, upper, symbols, separators = (of_class(line, x) for x in (r"\p{L}", r"\p{Lu}", SYMBOLS, "|›»"))
-    navigation = (separators >= 3) & (3 * separators >= words - separators)
-    one_word = (words >= 8) & line.rlike(rf"(?:^|[{SPACE}])([^{SPACE}]++)(?:[{SPACE}]++\1(?=[{SPACE}]|$)){{7}}")
-    return (words > 0) & (navigation | line.rlike(NOTICE) | ((letters >= 20) & (10 * upper > 7 * letters)) | (3 * symbols > words) | one_word)
+def measured(line: Column) -> Column:
+    """What the line rules need, each figure once: words, letters, upper-case letters, symbols, separators."""
+    counts = {"letters": r"\p{L}", "upper": r"\p{Lu}", "symbols": SYMBOLS, "separators": "|›»"}
+    return F.struct(line.alias("line"), F.regexp_count(line, F.lit(WORD)).alias("words"), F.lower(line).alias("low"), *(of_class(line, kind).alias(name) for name, kind in counts.items()))
+
+
+def failing(m: Column) -> Column:
+    """The line rules on a measured line; a line without a word passes."""
+    navigation = (m["separators"] >= 3) & (3 * m["separators"] >= m["words"] - m["separators"])
+    shouting = (m["letters"] >= 20) & (10 * m["upper"] > 7 * m["letters"])
+    one_word = (m["words"] >= 8) & m["line"].rlike(rf"(?:^|[{SPACE}])([^{SPACE}]++)(?:[{SPACE}]++\1(?=[{SPACE}]|\z)){{7}}")
+    notice = F.startswith(m["low"], F.lit(OPENING))
+    for phrase in NOTICES:
+        notice = notice | F.contains(m["low"], F.lit(phrase))
+    return (m["words"] > 0) & (navigation | shouting | (3 * m["symbols"] > m["words"]) | notice | one_word)
 
 
 def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -79,15 +88,14 @@ def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
     docs = docs.drop(*added)
     text = F.coalesce(F.col(text_col), F.lit(""))
     step = docs.withColumn("__words", word_array(text)).withColumn("__lines", F.split(text, "\n", -1))
-    hashes, n = repeated_words(F.col("__words"))
     step = step.select(
         *docs.columns,
-        n.cast("long").alias("n_words"),
+        F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         of_class(text, SYMBOLS).cast("long").alias("n_symbols"),
         "__lines",
         F.filter("__lines", lambda x: x.rlike(f"[^{SPACE}]")).alias("__full"),
-        hashes.alias("__hash"),
+        window_hashes(F.col("__words")).alias("__hash"),
     )
     step = step.withColumn("__any", F.size(F.array_distinct("__hash")) < F.size("__hash"))
     pairs = F.arrays_zip(F.col("__hash").alias("h"), F.sequence(F.lit(1), F.greatest(F.size("__hash"), F.lit(1))).alias("i"))
@@ -95,8 +103,8 @@ def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
     step = step.withColumn("n_repeat_words", F.when(F.col("__any"), union_of(F.col("__sorted"))).otherwise(F.lit(0)).cast("long"))
     step = step.withColumn("n_dup_lines", (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long"))
     step = step.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    step = step.withColumn("__good", F.filter("__lines", lambda x: ~failing(x)))
-    step = step.withColumn("cleaned", F.array_join("__good", "\n")).withColumn("__left", F.regexp_count("cleaned", F.lit(WORD)).cast("long"))
+    step = step.withColumn("__good", F.filter(F.transform("__lines", measured), lambda m: ~failing(m)))
+    step = step.withColumn("cleaned", F.array_join("__good.line", "\n")).withColumn("__left", F.aggregate("__good.words", F.lit(0), lambda n, w: n + w).cast("long"))
     step = step.withColumn("lost", F.when(F.col("n_words") == 0, F.lit(0.0)).otherwise(1 - F.col("__left") / F.col("n_words")))
     step = step.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= LOSS) & (F.col("__left") >= LEAST_WORDS))
     return step.select(*docs.columns, *added)
