@@ -1,13 +1,17 @@
 """LM scoring by cross-entropy difference of two matched n-gram models.
 
-Both models are character n-gram models of the same order, smoothing, hash
-tables and one shared vocabulary: all code points found ``LEAST`` times or more
-in the background, any other being one unknown token.  The background model
-counts every document, the target model those that a set of ids names.  Counts
-of all orders are summed on executors in tables of ``SLOTS`` places for each
-order and merged by a shuffle of their non-zero places, so what is gathered
-follows the input, while the models, at most 2 * ORDER * SLOTS figures, are
-broadcast.  A probability is Dirichlet-smoothed order by order down to uniform.
+Both models are character n-gram models of the same order, smoothing and one
+shared vocabulary: all code points found ``LEAST`` times or more in the
+background, any other being one unknown token.  The background model counts
+every document, the target model those that a set of ids names.  Grams are kept
+exactly: executors count those of the highest order, and those of lower orders
+and all contexts are sums of them, so the tables grow with the grams found.  A
+probability is Dirichlet-smoothed order by order down to uniform.
+
+As the background has every gram of every document, a model is one loss a gram,
+reckoned by joins.  Up to ``MOST_GRAMS`` of them are broadcast; if there are
+more, documents are put in groups of ``GROUP`` rows, and each group is given the
+losses of its own grams by a shuffle.
 
 A document's score is the mean over its tokens of loss(target) -
 loss(background), in bits: below 0 it is more like the target.
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +37,12 @@ from pyspark.sql import types as T
 from .common import small_batches, stored
 
 ORDER, LEAST, ALPHA = 4, 5, 8.0
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
+#: Bits of a token in a pair of tokens; a gram is two pairs, the older and the newer.
+TOKEN_BITS = 21
+#: Losses of up to so many grams are broadcast.
+MOST_GRAMS = 1 << 21
+#: Rows of a group of documents where they aren't, and grams that a counting task holds at once.
+GROUP, HELD = 2048, 1 << 21
 #: Ids of ids sets up to this size are broadcast.
 MOST_IDS = 4_000_000
 #: Characters worked on at once.
@@ -66,38 +75,35 @@ def vocabulary(docs: DataFrame, text_col: str = "text", least: int = LEAST) -> n
     return ids
 
 
-def slots(texts: list[str], ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each order 0 to ORDER the slot of the gram that ends at each token (order 0: all in one), and token counts."""
-    flat, sizes = flat_points(texts)
-    tokens = ids[flat].astype(np.uint64)
-    starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    since = np.arange(len(tokens)) - starts
-    out = [np.zeros(len(tokens), np.int64)]
-    gram = np.zeros(len(tokens), np.uint64)
-    for k in range(ORDER):
-        back = np.zeros(len(tokens), np.uint64)  # begin marks before the first token
-        if k < len(tokens):
-            back[k:] = np.where(since[k:] >= k, tokens[: len(tokens) - k], 0)
-        gram = gram + (back + np.uint64(1)) * np.uint64((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)[k])
-        h = gram ^ (gram >> np.uint64(31))
-        out.append(((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-    return out, sizes
+def keys(older: np.ndarray, newer: np.ndarray, size: int) -> np.ndarray:
+    """One exact, sortable value a gram: a long if a vocabulary of so many tokens leaves room, else a pair of doubles."""
+    bits, low = (size - 1).bit_length(), (1 << TOKEN_BITS) - 1
+    if 4 * bits > 63:
+        return older + 1j * newer  # pairs have 42 bits, so both parts are exact
+    return (older >> TOKEN_BITS) << (3 * bits) | (older & low) << (2 * bits) | (newer >> TOKEN_BITS) << bits | (newer & low)
+
 
+def pairs(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The older and the newer pair of keys()."""
+    if key.dtype.kind == "c":
+        return key.real.astype(np.int64), key.imag.astype(np.int64)
+    bits = (size - 1).bit_length()
+    a, b, c, d = ((key >> (k * bits)) & ((1 << bits) - 1) for k in (3, 2, 1, 0))
+    return a << TOKEN_BITS | b, c << TOKEN_BITS | d
 
-def context(texts: list[str], ids: np.ndarray) -> list[np.ndarray]:
-    """Slots of the contexts: the gram of order k - 1 that ends one token earlier, by order from 1."""
+
+def grams(texts: list[str], ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The key of the gram of the highest order that ends at each token, and token counts."""
     flat, sizes = flat_points(texts)
-    tokens = ids[flat].astype(np.uint64)
+    tokens = ids[flat].astype(np.int64)
     since = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out, gram = [np.zeros(len(tokens), np.int64)], np.zeros(len(tokens), np.uint64)
+    back = [tokens]
     for k in range(1, ORDER):
-        back = np.zeros(len(tokens), np.uint64)
+        own = np.zeros(len(tokens), np.int64)  # begin marks before the first token
         if k < len(tokens):
-            back[k:] = np.where(since[k:] >= k, tokens[: len(tokens) - k], 0)
-        gram = gram + (back + np.uint64(1)) * np.uint64((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)[k])
-        h = gram ^ (gram >> np.uint64(31))
-        out.append(((h * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-    return out
+            own[k:] = np.where(since[k:] >= k, tokens[: len(tokens) - k], 0)
+        back.append(own)
+    return keys(back[3] << TOKEN_BITS | back[2], back[1] << TOKEN_BITS | back[0], size), sizes
 
 
 def blocks(texts: list[str]) -> Iterator[list[str]]:
@@ -113,66 +119,87 @@ def blocks(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-TABLES = 2 * ORDER  # grams of orders 1 to ORDER, then their contexts
-
-
 def gathered(docs: DataFrame, ids: np.ndarray, text_col: str, flag: str) -> DataFrame:
-    """(slot, background, target): counts of all places of all tables that aren't zero."""
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
+    """(older, newer, background, target): counts of all grams of the highest order."""
+    shared, size = docs.sparkSession.sparkContext.broadcast(ids), int(ids.max()) + 1
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, TABLES * SLOTS), np.int32)
+    def merged(some: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        key, background, target = (np.concatenate(x) for x in zip(*some, strict=True))
+        found, at = np.unique(key, return_inverse=True)
+        return found, *(np.bincount(at, n, len(found)).astype(np.int64) for n in (background, target))
 
-        def out() -> Iterator[pa.RecordBatch]:
-            at = np.flatnonzero(counts[0])
-            for i in range(0, len(at), 1 << 18):
-                own = at[i : i + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *(pa.array(counts[k, own], pa.int64()) for k in (0, 1))], ["slot", "background", "target"])
+    def out(some: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        key, *counts = merged(some)
+        for i in range(0, len(key), 1 << 18):
+            columns = [*pairs(key[i : i + (1 << 18)], size), *(n[i : i + (1 << 18)] for n in counts)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["older", "newer", "background", "target"])
 
-        seen = 0
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         for part in parts:
             chosen = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
             texts = [x.as_py() or "" for x in part.column(0)]
             for wanted in (False, True):
                 for some in blocks([t for t, c in zip(texts, chosen.tolist(), strict=True) if c == wanted]):
-                    grams, sizes = slots(some, shared.value)
-                    for table, at in enumerate([*grams[1:], *context(some, shared.value)]):
-                        found = np.bincount(at, minlength=SLOTS).astype(np.int32)
-                        counts[0, table * SLOTS : (table + 1) * SLOTS] += found
-                        if wanted:
-                            counts[1, table * SLOTS : (table + 1) * SLOTS] += found
-                    seen += int(sizes.sum())
-            if seen > 1 << 30:  # before a count can overflow
-                yield from out()
-                counts[:], seen = 0, 0
-        yield from out()
+                    key, n = np.unique(grams(some, shared.value, size)[0], return_counts=True)
+                    held.append((key, n, n * wanted))
+            if sum(len(x[0]) for x in held) > HELD:
+                held = [merged(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield from out(held)
+                    held = []
+        if held:
+            yield from out(held)
 
     small_batches(docs.sparkSession, 1024)
-    return docs.select(text_col, flag).mapInArrow(run, "slot long, background long, target long").groupBy("slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    return docs.select(text_col, flag).mapInArrow(run, "older long, newer long, background long, target long").groupBy("older", "newer").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def models(counts: DataFrame, size: int) -> DataFrame:
+    """(older, newer, background_loss, target_loss): the loss in bits of each gram's last token, from gathered()."""
+    low = (1 << TOKEN_BITS) - 1
+    names, both = ["a", "b", "c", "d"], ["background", "target"]
+    sums = [F.sum(m).alias(m) for m in both]
+    split = [F.shiftright(p, TOKEN_BITS) if k == 0 else F.col(p).bitwiseAND(F.lit(low)) for p in ("older", "newer") for k in (0, 1)]
+    now = counts.select(*(x.alias(n) for n, x in zip(names, split, strict=True)), *both)
+    of = {4: now}
+    for k in (3, 2, 1):  # each position's gram of a lower order is the end of its gram of the next higher one
+        of[k] = stored(of[k + 1].groupBy(names[4 - k :]).agg(*sums), "grams")
+    total = of[1].agg(*sums).first()
+    p = of[1].select("d", *(((F.col(m) + ALPHA / size) / (F.lit(float(total[m] or 0)) + ALPHA)).alias(f"p_{m}") for m in both))
+    for k in (2, 3, 4):
+        before = of[k].groupBy(names[4 - k : 3]).agg(*(F.sum(m).alias(f"all_{m}") for m in both))
+        met = of[k].join(before, names[4 - k : 3]).join(p, names[5 - k :])
+        p = met.select(*names[4 - k :], *(((F.col(m) + ALPHA * F.col(f"p_{m}")) / (F.col(f"all_{m}") + ALPHA)).alias(f"p_{m}") for m in both))
+    pair = lambda x, y: F.shiftleft(x, TOKEN_BITS).bitwiseOR(F.col(y))
+    return p.select(pair("a", "b").alias("older"), pair("c", "d").alias("newer"), *((-F.log2(f"p_{m}")).alias(f"{m}_loss") for m in both))
+
+
+def model_arrays(found: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, and their losses under background and target."""
+    older, newer, *own = (found.column(c).to_numpy() for c in ("older", "newer", "background_loss", "target_loss"))
+    key = keys(older, newer, size)
+    order = np.argsort(key)
+    return key[order], *(x[order] for x in own)
+
+
+def losses(texts: list[str], ids: np.ndarray, model: tuple[np.ndarray, ...], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, and summed loss in bits under background and target, of each text; the model has every gram of the texts."""
+    key, sizes = grams(texts, ids, size)
+    at = np.searchsorted(model[0], key)
+    own = np.repeat(np.arange(len(texts)), sizes)
+    return sizes, *(np.bincount(own, x[at], len(texts)) for x in model[1:])
 
 
-def models(counts: DataFrame) -> np.ndarray:
-    """float32 counts of background and target, (2, TABLES, SLOTS): at most that many figures reach the driver."""
-    out = np.zeros((2, TABLES * SLOTS), np.float32)
-    for part in counts.toArrow().to_batches():
-        at = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        for k in (0, 1):
-            out[k, at] = part.column(1 + k).to_numpy(zero_copy_only=False)
-    return out.reshape(2, TABLES, SLOTS)
+ADDED = ["n_tokens", "target_loss", "background_loss", "score"]
 
 
-def losses(texts: list[str], ids: np.ndarray, tables: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, and summed loss in bits under background and target, of each text."""
-    grams, sizes = slots(texts, ids)
-    contexts = context(texts, ids)
-    own = np.repeat(np.arange(len(texts)), sizes)
-    out = []
-    for model in tables:
-        p = np.full(len(own), np.float32(1 / size))
-        for k in range(ORDER):
-            p = (model[k][grams[k + 1]] + np.float32(ALPHA) * p) / (np.maximum(model[ORDER + k][contexts[k]], model[k][grams[k + 1]]) + np.float32(ALPHA))
-        out.append(np.bincount(own, -np.log2(p), len(texts)))
-    return sizes, out[0], out[1]
+def figures(texts: list[str], ids: np.ndarray, model: tuple[np.ndarray, ...], size: int) -> list[pa.Array]:
+    """The columns ADDED of all texts."""
+    found = [losses(some, ids, model, size) for some in blocks(texts)] or [(np.empty(0),) * 3]
+    n, background, target = (np.concatenate(x) for x in zip(*found, strict=True))
+    each = np.maximum(n, 1)
+    return [pa.array(n.astype(np.int64)), pa.array(target / each), pa.array(background / each), pa.array((target - background) / each)]
 
 
 def score(docs: DataFrame, target_ids: DataFrame, text_col: str = "text") -> DataFrame:
@@ -183,22 +210,54 @@ def score(docs: DataFrame, target_ids: DataFrame, text_col: str = "text") -> Dat
         wanted = F.broadcast(wanted)
     flagged = docs.join(wanted.withColumn(flag, F.lit(True)), "doc_id", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     ids = vocabulary(docs, text_col)
-    tables = models(stored(gathered(flagged, ids, text_col, flag), "counts"))
-    context_ = docs.sparkSession.sparkContext
-    shared_ids, shared = context_.broadcast(ids), context_.broadcast(tables)
     size = int(ids.max()) + 1
-    added = ["n_tokens", "target_loss", "background_loss", "score"]
-    kept = [c for c in docs.columns if c not in (text_col, *added)]
+    model = stored(models(stored(gathered(flagged, ids, text_col, flag), "counts"), size), "losses")
+    shared_ids = docs.sparkSession.sparkContext.broadcast(ids)
+    kept = [c for c in docs.columns if c not in (text_col, *ADDED)]
+    fields = [T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ADDED[1:])]
+    schema = T.StructType([*(f for f in docs.schema if f.name in kept), *fields])
+    small_batches(docs.sparkSession)
+    if model.count() > MOST_GRAMS:
+        return by_groups(docs, model, shared_ids, text_col, kept, schema, size)
+    shared = docs.sparkSession.sparkContext.broadcast(model_arrays(model.toArrow(), size))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = [x.as_py() or "" for x in part.column(part.schema.get_field_index(text_col))]
-            found = [losses(some, shared_ids.value, shared.value, size) for some in blocks(texts)] or [(np.empty(0),) * 3]
-            n, background, target = (np.concatenate(x) for x in zip(*found, strict=True))
-            each = np.maximum(n, 1)
-            more = [pa.array(n.astype(np.int64)), pa.array(target / each), pa.array(background / each), pa.array((target - background) / each)]
-            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), *more], [*kept, *added])
+            more = figures(texts, shared_ids.value, shared.value, size)
+            yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), *more], [*kept, *ADDED])
 
-    small_batches(docs.sparkSession)
-    fields = [T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in added[1:])]
-    return docs.mapInArrow(run, T.StructType([*(f for f in docs.schema if f.name in kept), *fields]))
+    return docs.mapInArrow(run, schema)
+
+
+def by_groups(docs: DataFrame, model: DataFrame, ids: Broadcast, text_col: str, kept: list[str], schema: T.StructType, size: int) -> DataFrame:
+    """score() with a model of any size: each group of rows meets the losses of its own grams."""
+    group = "__foliomill_group"
+    row = F.monotonically_increasing_id()
+    numbered = stored(docs.select(*kept, text_col).withColumn(group, row - row % GROUP), "grouped")
+
+    def wanted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            older, newer = pairs(np.unique(np.concatenate(held)), size)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(older), now)), pa.array(older), pa.array(newer)], [group, "older", "newer"])
+
+        for part in parts:
+            owner = part.column(1).to_numpy()
+            texts = [x.as_py() or "" for x in part.column(0)]
+            for own in np.unique(owner).tolist():
+                if own != now and held:
+                    yield from out()
+                    held = []
+                now = own
+                held += [np.unique(grams(some, ids.value, size)[0]) for some in blocks([t for t, g in zip(texts, owner.tolist(), strict=True) if g == own])]
+        if held:
+            yield from out()
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        more = figures([x.as_py() or "" for x in left.column(text_col)], ids.value, model_arrays(right, size), size)
+        return pa.table([*(left.column(c) for c in kept), *more], names=[*kept, *ADDED])
+
+    met = numbered.select(text_col, group).mapInArrow(wanted, f"{group} long, older long, newer long").distinct().join(model, ["older", "newer"])
+    return numbered.groupBy(group).cogroup(met.groupBy(group)).applyInArrow(scored, schema)

@@ -110,6 +110,36 @@ def test_losses_equal_a_plain_version(spark):
     assert rows[0]["score"] < rows[1]["score"]
 
 
+def alphabet(n, least):
+    """Texts in an alphabet of n code points, each met least times."""
+    r = np.random.default_rng(4)
+    points = np.repeat(np.arange(0x4E00, 0x4E00 + n), least)
+    return ["".join(map(chr, part.tolist())) for part in np.array_split(r.permutation(points), 40)]
+
+
+@pytest.mark.parametrize("most", [1 << 21, 0])  # broadcast, and by groups of rows
+def test_losses_stay_exact_with_many_grams(spark, monkeypatch, most):
+    monkeypatch.setattr(lmscore, "MOST_GRAMS", most)
+    monkeypatch.setattr(lmscore, "GROUP", 7)
+    texts = alphabet(3000, 40) + ["", None]  # 120,000 characters, nearly as many grams of order 4
+    good = spark.createDataFrame([(i,) for i in range(0, len(texts), 2)], "doc_id long")
+    rows = {r["doc_id"]: r for r in lmscore.score(documents(spark, texts).select("doc_id", "text", "lang"), good).collect()}
+    assert len(rows) == len(texts) and rows[41]["n_tokens"] == 0 and rows[41]["score"] == 0
+    plain = [t or "" for t in texts]
+    for i in (0, 1):
+        background, wanted = plain_losses(plain, [k % 2 == 0 for k in range(len(texts))], plain[i])
+        assert np.isclose(rows[i]["background_loss"], background, atol=1e-9) and np.isclose(rows[i]["target_loss"], wanted, atol=1e-9)
+
+
+@pytest.mark.parametrize("size", [2, 300, 1 << 15, 1 << 16, 0x110000])
+def test_keys_of_grams_are_exact(size):
+    r = np.random.default_rng(5)
+    tokens = np.concatenate((r.integers(0, size, (1000, 4)), [[size - 1] * 4, [0, 0, 0, size - 1]]))
+    older, newer = tokens[:, 0] << lmscore.TOKEN_BITS | tokens[:, 1], tokens[:, 2] << lmscore.TOKEN_BITS | tokens[:, 3]
+    got = lmscore.pairs(lmscore.keys(older, newer, size), size)
+    assert (got[0] == older).all() and (got[1] == newer).all()
+
+
 def test_scores_of_odd_tables(spark):
     none = spark.createDataFrame([], "doc_id long")
     got = lmscore.score(documents(spark).select("doc_id", "text", "lang"), none)
