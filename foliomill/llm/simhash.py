@@ -58,16 +58,16 @@ def majority(h: np.ndarray, block: int = 1 << 16) -> int:
     return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64-bit fingerprint of each row as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): the 64-bit fingerprint of each row as a signed long; and further columns of longs."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             fp = np.array([majority(hashes(x.as_py() or "")) for x in part.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp, pa.int64()), *part.columns[2:]], ["doc_id", "fp", *more])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *more)))
 
 
 @cache
@@ -196,21 +196,28 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select("lo", "lo").distinct())
 
 
+def rooted(distinct: DataFrame) -> DataFrame:
+    """distinct, a row for each fingerprint fp, with the smallest fingerprint of its component as root."""
+    root = components(links(distinct))
+    return distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id: the smallest doc_id reachable over links, itself included."""
     fps = stored(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    root = components(links(distinct))
-    rooted = distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "fp", "left").select("doc_id", "fp", "component_id")
+    found = rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    smallest = found.groupBy("root").agg(F.min("first").alias("component_id"))
+    return fps.join(found.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: the row of its smallest doc_id (one of them where a doc_id repeats).
-
-    Rows without a doc_id can't be told apart by it: of them, one stays if a whole component has no doc_id."""
-    key = "__foliomill_key"
-    whole = near_duplicates(docs)
-    chosen = whole.select(F.coalesce("component_id", F.lit(-(1 << 63))).alias(key)).distinct()
-    return docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).join(chosen, key, "left_semi").dropDuplicates([key]).drop(key)
+    """One row of each component, whatever its ids: that of the smallest doc_id, one without a doc_id only if no row has one, the first stored of several.
+
+    Rows are told apart by a number that is written with them, so null and repeated ids neither lose a component nor meet in one task."""
+    key = "__foliomill_row"
+    numbered = stored(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    fps = stored(fingerprints(numbered, more=(key,)), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first")
+    found = rooted(fps.groupBy("fp").agg(first))
+    chosen = found.groupBy("root").agg(F.min("first").alias("first")).select(F.col(f"first.{key}").alias(key))
+    return numbered.join(chosen, key, "left_semi").select(*docs.columns)

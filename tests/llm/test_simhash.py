@@ -111,3 +111,11 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert sorted((r["component_id"] is None) for r in rows) == [False] * 3 + [True] * 2
     assert simhash.keep_one(docs).where(F.col("doc_id") == 7).count() == 1 and simhash.keep_one(docs).count() == 2
     assert simhash.near_duplicates(documents(spark, [], [])).count() == 0
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    texts, ids = [a, a, b, c, c, d, e, e, None, ""], [None, None, None, 7, 8, 7, 8, None, None, None]
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(documents(spark, texts, ids)).collect()), key=repr)
+    assert [t for _, t in kept if t] and sorted(t or "" for _, t in kept) == sorted([a, b, c, d, e, ""])
+    assert {(i, t) for i, t in kept if t} == {(None, a), (None, b), (7, c), (7, d), (8, e)}
