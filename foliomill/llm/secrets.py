@@ -3,9 +3,14 @@
 The base patterns are found as stated by the contract.  Beside them, every run
 of ``TOKEN`` characters is scored with two first-order character Markov models,
 one of random strings and one of ordinary identifiers: the sum over its
-transitions of log p(b|a, random) / p(b|a, identifier).  A run whose ratio is
-``PER_CHAR`` or more a character is a further span, of kind markov, unless it
-lies within a base span.  Both models come from labelled samples: ``train`` takes
+transitions of log p(b|a, random) / p(b|a, identifier).  A run of ``WHOLE`` or
+more characters whose ratio is ``PER_CHAR`` or more a character is a further
+span, of kind markov.  In any other run a running sum of the ratio, less
+``DRIFT`` a transition, finds the parts that look random: a part ends where the
+sum is used up or has fallen by ``FALL``, counts if its sum came to ``TOTAL`` and
+it mixes digits with letters or has an upper-case letter after a lower-case one,
+and reaches to the ends of its letters and digits.  Markov spans that lie within
+a base span are left out.  Both models come from labelled samples: ``train`` takes
 any table (label, token); ``samples`` makes the default one from fixed words and
 hash digests.  The trained table has 65 x 65 entries whatever is scanned.
 
@@ -26,10 +31,12 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 STATES = len(ALPHABET) + 1
-PER_CHAR = 0.4
+WHOLE, PER_CHAR = 20, 0.4
+TOTAL, DRIFT, FALL = 10.0, 0.3, 8.0
+MIXED = "[a-z][A-Z]|[0-9][+/_=-]*[A-Za-z]|[A-Za-z][+/_=-]*[0-9]"
 #: Words of ordinary identifiers.
 WORDS = (
     "account action active address after amount array audit before begin block board buffer build cache call category change channel check child class clear client "
@@ -98,6 +105,48 @@ def ratio(token: Column, table: Column) -> Column:
     return total["sum"] / (F.length(token) - 1)
 
 
+def parts(token: Column, table: Column) -> Column:
+    """array<struct<start,end>> of the parts of a token that look random, by a running sum of the ratio."""
+    kind = "array<struct<start:int,end:int>>"
+    codes = F.transform(F.split(token, ""), state)
+    begin = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("i"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.array().cast(kind).alias("found"))
+
+    def ended(acc: Column) -> Column:
+        return F.when(acc["best"] >= TOTAL, F.concat(acc["found"], F.array(F.struct(acc["start"].alias("start"), acc["end"].alias("end"))))).otherwise(acc["found"])
+
+    def step(acc: Column, c: Column) -> Column:
+        gain = F.when(acc["last"] < 0, 0.0).otherwise(F.element_at(table, acc["last"] * STATES + c + 1) - DRIFT)
+        fresh = (acc["sum"] <= 0) | (acc["best"] - acc["sum"] > FALL)
+        total = F.when(fresh, 0.0).otherwise(acc["sum"]) + gain
+        best = F.when(fresh, 0.0).otherwise(acc["best"])
+        return F.struct(
+            c.alias("last"),
+            (acc["i"] + 1).alias("i"),
+            total.alias("sum"),
+            F.greatest(total, best).alias("best"),
+            F.when(fresh, F.greatest(acc["i"] - 1, F.lit(0))).otherwise(acc["start"]).alias("start"),
+            F.when(total > best, acc["i"] + 1).otherwise(F.when(fresh, acc["i"]).otherwise(acc["end"])).alias("end"),
+            F.when(fresh, ended(acc)).otherwise(acc["found"]).alias("found"),
+        )
+
+    found = F.filter(F.aggregate(codes, begin, step, ended), lambda s: F.substring(token, s["start"] + 1, s["end"] - s["start"]).rlike(MIXED))
+    before = lambda s: F.length(F.regexp_extract(F.reverse(F.substring(token, F.lit(1), s["start"])), "^[A-Za-z0-9]*", 0))
+    behind = lambda s: F.length(F.regexp_extract(F.substring(token, s["end"] + 1, F.length(token)), "^[A-Za-z0-9]*", 0))
+    return F.array_distinct(F.transform(found, lambda s: F.struct((s["start"] - before(s)).alias("start"), (s["end"] + behind(s)).alias("end"))))
+
+
+def random_spans(text: Column, table: Column) -> Column:
+    """array<struct<start,end>> of runs that look random, or else of such parts of them."""
+
+    def of(s: Column) -> Column:
+        token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        whole = (s["end"] - s["start"] >= WHOLE) & (ratio(token, table) >= PER_CHAR)
+        some = F.transform(parts(token, table), lambda x: F.struct((s["start"] + x["start"]).alias("start"), (s["start"] + x["end"]).alias("end")))
+        return F.when(whole, F.array(s)).when(token.rlike(MIXED), some).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+    return F.flatten(F.transform(placed(text, TOKEN), of))
+
+
 def annotate(docs: DataFrame, model: list[float] | None = None, text_col: str = "text") -> DataFrame:
     """docs with spans (array<struct<start,kind_no,end,kind>>, by start, then kind as in KINDS) added."""
     model = train(samples(docs.sparkSession)) if model is None else model
@@ -112,7 +161,7 @@ def annotate(docs: DataFrame, model: list[float] | None = None, text_col: str =
         F.filter(F.arrays_zip(placed(text, ASSIGN).alias("s"), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)).alias("v")), lambda x: F.length(x["v"]) >= 8).alias("__assign"),
         placed(text, ACCESS).alias("__access"),
         placed(text, HEX).alias("__hex"),
-        F.filter(placed(text, TOKEN), lambda s: ratio(F.substring(text, s["start"] + 1, s["end"] - s["start"]), table) >= PER_CHAR).alias("__token"),
+        random_spans(text, table).alias("__token"),
     )
     found = found.withColumn("__base", F.concat(of(F.transform("__assign", lambda x: x["s"]), 0), of(F.col("__access"), 1), of(F.col("__hex"), 2)))
     free = F.filter("__token", lambda t: ~F.exists("__base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from foliomill.llm import secrets
@@ -33,6 +34,17 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     assert not any(got[i] for i in range(len(random), len(random) + len(plain)))
 
 
+def test_short_and_glued_random_strings_are_found(spark):
+    r, marks = random.Random(6), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(r.choice(marks) for _ in range(n))
+    cases = [("", n) for n in (12, 16, 18, 19) for _ in range(50)] + [(p, n) for p in ("database_connection_credential=", "config/default/production/client/") for n in (16, 24, 32) for _ in range(20)]
+    keys = [key(n) for _, n in cases]
+    got = {x["doc_id"]: x["text"] for x in secrets.redact(documents(spark, [f"x {p}{k} y" for (p, _), k in zip(cases, keys, strict=True)])).collect()}
+    assert sum("[SECRET]" in got[i] and k not in got[i] for i, k in enumerate(keys)) >= 0.97 * len(keys)
+    plain = ["internationalization", "Donaudampfschifffahrt", "getCustomerAccount", "src/main/config/default/handler", "nichtschteungst", "MAX_CONNECTION_LIMIT", "1234567890123456"]
+    assert not any(x["spans"] for x in secrets.annotate(documents(spark, [f"x {t} y" for t in plain])).collect())
+
+
 def test_redaction_replaces_spans_and_keeps_columns(spark):
     docs = documents(spark, TEXTS)
     out = secrets.redact(docs)
