@@ -2,7 +2,7 @@
 
 A text is lower-cased; runs of characters that are no letter become one space.
 Its n-grams (3 code points, packed exactly into 63 bits) are looked up in a
-table of 64-bit masks: bit l of a mask belongs to language l's Bloom filter, so
+table of masks, of as many 64-bit words as the languages need: bit l of a mask belongs to language l's Bloom filter, so
 ANDing the masks at an n-gram's ``HASHES`` places returns all languages that
 contain it.  The popcount of each language over a text, less the false
 positives that its fill predicts, decides.
@@ -10,9 +10,11 @@ positives that its fill predicts, decides.
 Learning counts every n-gram of every learning row for each language, on
 executors with map-side sums.  An n-gram belongs to all languages in which its
 share is ``SHARE`` or more of its largest share in any; n-grams seen fewer than
-``LEAST`` times are noise.  Distinct n-grams are gathered as (n-gram, mask); if
-there are over ``MOST_GRAMS``, those seen least go, a bound on the model and
-not on what is counted.  At most 63 languages, the commonest, are learned.
+``LEAST`` times are noise, in a language of little text in proportion fewer: one
+time for every ``PER_TIME`` n-grams of its text.  All others are gathered as
+(n-gram, word, mask), and the table's length follows their number, so neither
+languages nor n-grams are cut; what is gathered and broadcast grows with the
+distinct n-grams of the languages.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; a
 text with letters none of whose n-grams is known gets the commonest language,
@@ -35,7 +37,10 @@ from .common import learned, small_batches, stored
 
 GRAM, HASHES, LEAST, SHARE = 3, 2, 5, 0.2
 BITS = 20  # of the table's length; doubled until languages' filters are sparse
-MOST_GRAMS = 1 << 20
+WORD = 64  # languages of one word of a mask
+PER_TIME = 50_000
+#: N-grams of a language that a counting task holds at once.
+HELD = 1 << 20
 
 
 def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,10 +75,16 @@ def mixed(x: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def bit_of(masks: np.ndarray, i: int) -> np.ndarray:
+    """Language i's bit of each mask."""
+    word = masks if masks.ndim == 1 else masks[:, i // WORD]
+    return (word >> np.uint64(i % WORD)) & np.uint64(1)
+
+
 @dataclass
 class Filters:
     languages: list[str]
-    table: np.ndarray  # one mask of languages for each place
+    table: np.ndarray  # one mask of languages for each place: a word, or a row of words
     false: np.ndarray  # of each language: the share of unknown n-grams that it claims
 
     @classmethod
@@ -81,10 +92,10 @@ class Filters:
         bits = BITS
         while (1 << bits) < 16 * len(packed):
             bits += 1
-        table = np.zeros(1 << bits, np.uint64)
+        table = np.zeros((1 << bits, *masks.shape[1:]), np.uint64)
         for k in range(HASHES):
             np.bitwise_or.at(table, (mixed(packed, k) >> np.uint64(64 - bits)).astype(np.int64), masks)
-        fill = np.array([((table >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(languages))])
+        fill = np.array([bit_of(table, i).mean() for i in range(len(languages))])
         return cls(languages, table, fill**HASHES)
 
     def containing(self, packed: np.ndarray) -> np.ndarray:
@@ -99,7 +110,7 @@ class Filters:
         packed, own, letters = grams(texts)
         n = np.bincount(own, minlength=len(texts)).astype(float)
         masks = self.containing(packed)
-        counts = np.stack([np.bincount(own, ((masks >> np.uint64(i)) & np.uint64(1)).astype(float), len(texts)) for i in range(len(self.languages))], 1)
+        counts = np.stack([np.bincount(own, bit_of(masks, i).astype(float), len(texts)) for i in range(len(self.languages))], 1)
         true = np.maximum(0, (counts - self.false * n[:, None]) / np.maximum(1 - self.false, 1e-9))
         best = true.argmax(1)
         score = np.where(letters, true.max(1) / np.maximum(n, 1), 0.0)
@@ -130,31 +141,35 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
                 held.setdefault(lang, []).append(np.unique(packed, return_counts=True))
                 if len(held[lang]) >= 32:
                     held[lang] = [merged(held[lang])]
-                    if len(held[lang][0][0]) > MOST_GRAMS:
+                    if len(held[lang][0][0]) > HELD:
                         yield out(lang)
         for lang in list(held):
             yield out(lang)
 
     small_batches(docs.sparkSession)
     counts = stored(known.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(63).collect()
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").collect()  # a row for each language
     languages = [r["lang"] for r in totals]
     if not languages:
         return Filters([], np.zeros(1, np.uint64), np.zeros(0))
     index = docs.sparkSession.createDataFrame([(r["lang"], i, float(r["total"])) for i, r in enumerate(totals)], "lang string, bit int, total double")
-    rated = counts.join(F.broadcast(index), "lang").withColumn("share", F.col("n") / F.col("total"))  # 63 rows at most
+    rated = counts.join(index, "lang").withColumn("share", F.col("n") / F.col("total"))
     top = rated.withColumn("top", F.max("share").over(Window.partitionBy("gram"))).withColumn("seen", F.sum("n").over(Window.partitionBy("gram")))
-    kept = top.where((F.col("seen") >= LEAST) & (F.col("share") >= SHARE * F.col("top")))
-    masks = kept.groupBy("gram").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("mask"), F.max("seen").alias("seen"))
-    masks = stored(masks, "masks")
-    if masks.count() > MOST_GRAMS:
-        masks = masks.orderBy(F.desc("seen"), "gram").limit(MOST_GRAMS)
-    found = masks.select("gram", "mask").toArrow()
-    return Filters.of(found.column(0).to_numpy().astype(np.int64), found.column(1).to_numpy().astype(np.int64).view(np.uint64), languages)
+    least = F.least(F.lit(LEAST), F.ceil(F.col("total") / PER_TIME))
+    kept = top.where((F.col("seen") >= least) & (F.col("share") >= SHARE * F.col("top")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % WORD)
+    masks = stored(kept.groupBy("gram", F.floor(F.col("bit") / WORD).alias("word")).agg(F.bit_or(bit).alias("mask")), "masks")
+    packed, word, mask = (x.to_numpy().astype(np.int64) for x in masks.select("gram", "word", "mask").toArrow().columns)
+    if len(languages) <= WORD:
+        return Filters.of(packed, mask.view(np.uint64), languages)
+    own, at = np.unique(packed, return_inverse=True)
+    wide = np.zeros((len(own), -(-len(languages) // WORD)), np.uint64)
+    wide[at, word] = mask.view(np.uint64)
+    return Filters.of(own, wide, languages)
 
 
 def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score added; the filters, of bounded size, are broadcast once."""
+    """docs with lang_pred and score added; the filters are broadcast once."""
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.table, filters.false))
 

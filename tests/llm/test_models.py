@@ -60,6 +60,14 @@ def test_language_filters_return_every_language_of_a_gram():
     assert own.predict(["the cat", "le chat", "123 !?", "", "日本"])[0] == ["x", "y", "und", "und", "x"]
 
 
+def test_no_language_is_left_out(spark):
+    words = ["".join(chr(0x4E00 + 40 * k + (7 * i + j) % 40) for j in range(8)) for k in range(140) for i in range(3)]
+    rows = [(f"l{k // 3:03d}", " ".join([w] * (2 if k else 3000))) for k, w in enumerate(words)]  # 140 languages of little text, one of which dominates
+    filters = langid.train(spark.createDataFrame(rows, "lang string, text string").repartition(3))
+    assert len(filters.languages) == 140
+    assert filters.predict([t[:40] for _, t in rows])[0] == [x for x, _ in rows]
+
+
 def test_language_of_odd_texts(spark):
     docs = documents(spark)
     got = {r["doc_id"]: r for r in langid.identify(docs, langid.train(langid.learning_rows(docs))).collect()}
