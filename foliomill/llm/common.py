@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where that is unset, as in tests."""
+    """The folder that spark.checkpoint.dir names.  Where it is unset, a temporary one if driver and executors are one process, else an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="foliomill-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
@@ -33,7 +35,41 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and a lost executor costs nothing that came before."""
     path = f"{shared_dir(df.sparkSession)}/foliomill-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.foliomill_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote and that nothing reads any more."""
+    jvm, path = df.sparkSession._jvm, df.foliomill_path
+    own = jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
+
+
+def col(name: str) -> Column:
+    """A top-level column, whatever marks its name holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def aside(docs: DataFrame, added: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """docs with each column that clashes with an added one (names differ in more than case) renamed by underscores at its end; and the new names of its columns."""
+    taken = {a.lower() for a in added}
+    names: dict[str, str] = {}
+    used = {c.lower() for c in docs.columns} | taken
+    for c in docs.columns:
+        new = c
+        if c.lower() in taken:
+            while new.lower() in used:
+                new += "_"
+            used.add(new.lower())
+        names[c] = new
+    return docs.select(*(col(c).alias(new) for c, new in names.items())), names
+
+
+def restored(out: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns that ``aside`` took, under their own names."""
+    return out.select(*(col(new).alias(c) for c, new in names.items()))
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
@@ -44,7 +80,8 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+    """A-Z in lower case; a text of ASCII alone takes the short way."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def texts(column: pa.Array) -> Iterator[str]:

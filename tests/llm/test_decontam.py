@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from foliomill.llm import decontam
 
 from .helpers import TEXTS, documents
@@ -51,7 +53,8 @@ def test_repetitive_texts(spark):
 
 
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    for name in ("BROADCAST_ROWS", "BROADCAST_WINDOWS", "BROADCAST_BYTES"):
+        monkeypatch.setattr(decontam, name, 0)
     check(spark, ["one two three four five six seven eight nine ten eleven twelve thirteen fourteen " * 2, "no"], [(9, "two three four five six seven eight nine ten eleven twelve thirteen fourteen")])
 
 
@@ -62,3 +65,26 @@ def test_empty_tables_and_columns(spark):
     assert decontam.annotate(documents(spark, [], []), spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
     twice = decontam.annotate(documents(spark, ["a b"] * 2, [3, 3]), spark.createDataFrame([(1, "a b")], "item_id long, text string"))
     assert [r["n_hit"] for r in twice.collect()] == [2, 2]
+
+
+def test_long_texts_of_many_words_and_items_of_mixed_length(spark):
+    r = random.Random(8)
+    voc = [f"w{i}" for i in range(900)]
+    long = [r.choice(voc) for _ in range(40_000)]
+    items = [(1, " ".join(long[5000:9000])), (2, "w17"), (3, "w3 w5"), (4, " ".join(long[100:112])), (5, " ".join(long[30_000:30_013])), (6, " ".join(r.choice(voc) for _ in range(3000)))]
+    check(spark, [" ".join(long), "w17, w3 W5", None, " ".join(long[:200]) * 2], items)
+
+
+def test_items_without_an_id_mark_words(spark):
+    bench = spark.createDataFrame([(None, "solo tango"), (4, "alpha beta"), (4, "gamma delta")], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontam.annotate(documents(spark, ["x solo tango", "alpha beta gamma delta solo tango"]), bench).collect()}
+    assert got == {0: (2, []), 1: (6, ["4"])}
+
+
+def test_columns_of_the_input_keep_their_values(spark):
+    extra = documents(spark, ["solo x", "y z"]).withColumn("n_words", F.lit("mine")).withColumn("Contaminated", F.col("doc_id") * 2.5).withColumn("__foliomill_a", F.lit(7)).withColumn("a.b", F.lit(1))
+    bench = spark.createDataFrame([(1, "solo")], "item_id long, text string")
+    out = decontam.clean(extra, bench)
+    assert out.schema == extra.schema and [tuple(r) for r in out.collect()] == [tuple(r) for r in extra.where("doc_id = 1").collect()]
+    got = {r["doc_id"]: r for r in decontam.annotate(extra, bench).collect()}
+    assert got[0]["n_words"] == 2 and got[0]["n_words_"] == "mine" and got[1]["Contaminated_"] == 2.5 and got[0]["contaminated"]
