@@ -14,28 +14,35 @@ a base span are left out.  Both models come from labelled samples: ``train`` tak
 any table (label, token); ``samples`` makes the default one from fixed words and
 hash digests.  The trained table has 65 x 65 entries whatever is scanned.
 
-Positions count code points, ends are exclusive.  Defined cases: a null text is
-empty and has no spans; repeated rows each get a row; an empty table gives an
-empty result; further columns stay, apart from those that ``annotate`` adds; a
-text that is one run without a space is one token.
+Positions count code points, ends are exclusive.  Nothing is done from a text's
+start for each match, so the work grows in proportion to a text's length; a run
+of over 1024 characters is scored in parts of that length.  Defined cases: a
+null text is empty and has no spans; of spans that begin together the kind
+decides; repeated rows each get a row; an empty table gives an empty result;
+a column ``spans`` of the input stays as ``spans_``, in ``redact`` as it was.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import aside, col
+
 KINDS = ("assign", "access", "hex", "markov")
-ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN = r"""(?=[pPsStTaA])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}"
+TOKEN = r"[A-Za-z0-9+/_=-]{12,1024}+(?:[A-Za-z0-9+/_=-]{1,11}(?![A-Za-z0-9+/_=-]))?"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 STATES = len(ALPHABET) + 1
 WHOLE, PER_CHAR = 20, 0.4
 TOTAL, DRIFT, FALL = 10.0, 0.3, 8.0
+#: Values that one fold gathers, and characters of a piece that spans are cut from.
+BLOCK, PIECE = 128, 512
 MIXED = "[a-z][A-Z]|[0-9][+/_=-]*[A-Za-z]|[A-Za-z][+/_=-]*[0-9]"
 #: Words of ordinary identifiers.
 WORDS = (
@@ -44,7 +51,10 @@ WORDS = (
     "document domain done drive edit element email enable entry error event exist export factory failure field file filter first folder format frame function "
     "general group handle header health history home image import index input insert instance integer invoice item issue join kernel label language last layer "
     "length level library limit line link list local location login main manager market master member memory message method mode model module month name network "
-    "node number object offset open option order output owner package page parent part path payment percent person phone plan point policy position price process"
+    "node number object offset open option order output owner package page parent part path payment percent person phone plan point policy position price process "
+    "query queue quota range read record region release remove report request resource result return role route rule sample save schema scope score search section select "
+    "server service session shape share size source stage state status storage stream string system table target task template text thread title total track type unit "
+    "update usage user value vector version view visit volume wait weight window word worker"
 ).split()
 
 
@@ -85,17 +95,46 @@ def train(labelled: DataFrame, smooth: float = 0.5) -> list[float]:
 
 
 def placed(text: Column, pattern: str) -> Column:
-    """array<struct<start,end>> of all leftmost matches, from the lengths of matches and of what lies between them."""
-    got, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    spans = F.aggregate(
-        F.arrays_zip(F.slice(F.transform(gaps, F.length), 1, F.size(got)).alias("g"), F.transform(got, F.length).alias("m")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + x["m"]).alias("at"),
-            F.concat(acc["spans"], F.array(F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + x["m"]).alias("end")))).alias("spans"),
-        ),
-    )["spans"]
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    """array<struct<start,end,match>> of all leftmost matches, from the lengths of matches and of what lies between them."""
+    kind = "array<struct<start:int,end:int,match:string>>"
+
+    def of(got: Column) -> Column:
+        gaps = F.transform(F.split(text, pattern, -1), F.length)
+        both = F.arrays_zip(gaps.alias("g"), got.alias("m"))  # one gap more than matches
+        return let(F.filter(both, lambda x: x["m"].isNotNull()), with_starts)
+
+    def with_starts(both: Column) -> Column:
+        before = prefix(F.transform(both, lambda x: x["g"] + F.length(x["m"])), lambda a, b: a + b)
+        spans = F.arrays_zip(both.alias("x"), before.alias("at"))
+        return F.transform(spans, lambda s: F.struct((s["at"] + s["x"]["g"]).alias("start"), (s["at"] + s["x"]["g"] + F.length(s["x"]["m"])).alias("end"), s["x"]["m"].alias("match")))
+
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), of)).otherwise(F.array().cast(kind))
+
+
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def prefix(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of integers, what join makes of all before it, from 0 on.
+
+    A fold copies what it has gathered at each step, so it runs over blocks of ``BLOCK`` values and then over the blocks."""
+    none = F.array().cast("array<int>")
+
+    def fold(own: Column, of: Callable[[Column], Column]) -> Column:
+        return F.aggregate(own, F.struct(F.lit(0).alias("now"), none.alias("seen")), lambda acc, x: F.struct(join(acc["now"], of(x)).cast("int").alias("now"), F.concat(acc["seen"], F.array(acc["now"])).alias("seen")))
+
+    def joined_blocks(folded: Column) -> Column:
+        return let(fold(folded, lambda b: b["now"])["seen"], lambda before: F.flatten(F.transform(folded, lambda b, i: F.transform(b["seen"], lambda x: join(F.get(before, i), x).cast("int")))))
+
+    def of_all(own: Column) -> Column:
+        n = F.size(own)
+        # F.slice copies the whole array each time, F.get doesn't
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), lambda b: F.transform(F.sequence(b * BLOCK, F.least(b * BLOCK + BLOCK, n) - 1), lambda i: F.get(own, i)))
+        return F.when(n == 0, none).otherwise(let(F.transform(blocks, lambda b: fold(b, lambda x: x)), joined_blocks))
+
+    return let(values, of_all)
 
 
 def ratio(token: Column, table: Column) -> Column:
@@ -139,10 +178,10 @@ def random_spans(text: Column, table: Column) -> Column:
     """array<struct<start,end>> of runs that look random, or else of such parts of them."""
 
     def of(s: Column) -> Column:
-        token = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        whole = (s["end"] - s["start"] >= WHOLE) & (ratio(token, table) >= PER_CHAR)
+        token = s["match"]
+        whole = (F.length(token) >= WHOLE) & (ratio(token, table) >= PER_CHAR)
         some = F.transform(parts(token, table), lambda x: F.struct((s["start"] + x["start"]).alias("start"), (s["start"] + x["end"]).alias("end")))
-        return F.when(whole, F.array(s)).when(token.rlike(MIXED), some).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+        return F.when(whole, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))).when(token.rlike(MIXED), some).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
 
     return F.flatten(F.transform(placed(text, TOKEN), of))
 
@@ -151,42 +190,52 @@ def annotate(docs: DataFrame, model: list[float] | None = None, text_col: str =
     """docs with spans (array<struct<start,kind_no,end,kind>>, by start, then kind as in KINDS) added."""
     model = train(samples(docs.sparkSession)) if model is None else model
     table = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs, names = aside(docs, ["spans"])
+    text = F.coalesce(col(names[text_col]), F.lit(""))
 
     def of(spans: Column, no: int) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(no).alias("kind_no"), s["end"].alias("end"), F.lit(KINDS[no]).alias("kind")))
 
-    found = docs.drop("spans").select(
-        "*",
-        F.filter(F.arrays_zip(placed(text, ASSIGN).alias("s"), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)).alias("v")), lambda x: F.length(x["v"]) >= 8).alias("__assign"),
-        placed(text, ACCESS).alias("__access"),
-        placed(text, HEX).alias("__hex"),
-        random_spans(text, table).alias("__token"),
-    )
-    found = found.withColumn("__base", F.concat(of(F.transform("__assign", lambda x: x["s"]), 0), of(F.col("__access"), 1), of(F.col("__hex"), 2)))
-    free = F.filter("__token", lambda t: ~F.exists("__base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
-    return found.withColumn("spans", F.array_sort(F.concat("__base", of(free, 3)))).drop("__assign", "__access", "__hex", "__token", "__base")
+    def free(spans: Column) -> Column:
+        """Of sorted spans, those of the base and the markov ones that lie in none of these: none before them reaches so far."""
+        reach = prefix(F.transform(spans, lambda s: F.when(s["kind_no"] == 3, 0).otherwise(s["end"])), F.greatest)
+        return let(reach, lambda own: F.filter(spans, lambda s, i: (s["kind_no"] < 3) | (s["end"] > F.get(own, i))))
+
+    assigned = F.filter(F.arrays_zip(placed(text, ASSIGN).alias("s"), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)).alias("v")), lambda x: F.length(x["v"]) >= 8)
+    found = F.concat(of(F.transform(assigned, lambda x: x["s"]), 0), of(placed(text, ACCESS), 1), of(placed(text, HEX), 2), of(random_spans(text, table), 3))
+    return docs.withColumn("spans", let(F.array_sort(found), free))
 
 
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def cut(pieces: Column, begin: Column, end: Column) -> Column:
+    """Characters begin to end of a text that is given in pieces of ``PIECE`` characters: only those they lie in are read."""
+    first = F.floor(begin / PIECE).cast("int")
+    last = F.floor((end - 1) / PIECE).cast("int")
+    own = F.array_join(F.transform(F.sequence(first, F.greatest(last, first)), lambda i: F.get(pieces, i)), "")
+    return F.when(end > begin, F.substring(own, begin - first * PIECE + 1, end - begin)).otherwise("")
+
+
+def redacted(text: Column, spans: Column, mark: str) -> Column:
+    """text with each group of overlapping spans replaced by one mark: what lies between groups is cut out and joined once."""
+
+    def of(reach: Column) -> Column:
+        groups = F.filter(F.arrays_zip(spans["start"].alias("start"), reach.alias("after")), lambda g: g["start"] >= g["after"])
+        kept = F.concat(F.transform(groups, lambda g: F.struct(g["after"].alias("a"), g["start"].alias("b"))), F.array(F.struct(F.array_max(spans["end"]).alias("a"), F.length(text).alias("b"))))
+        return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda pieces: F.array_join(F.transform(kept, lambda k: cut(pieces, k["a"], k["b"])), mark))
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(prefix(spans["end"], F.greatest), of))
+
+
 def redact(docs: DataFrame, model: list[float] | None = None, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span of text_col replaced; overlapping spans become one mark.  n_chars follows where there is one.  A null text stays null."""
-    at = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = F.col(text_col)
-    done = F.aggregate(
-        "spans",
-        at,
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-    )
-    new = F.when(F.size("spans") == 0, text).otherwise(F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
-    own = docs.columns
-    out = annotate(docs, model, text_col).withColumn("__new", new).drop(text_col).withColumnRenamed("__new", text_col)
-    if "n_chars" in own:
-        out = out.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length(text_col).cast("long")))
-    return out.select(*own)
+    """docs with every span of text_col replaced; overlapping spans become one mark.  n_chars follows where there is one.  A null text stays null.  All columns stay."""
+    new = "__foliomill_new"
+    own, names = aside(docs, ["spans", new])
+    text = names[text_col]
+    out = annotate(own, model, text).withColumn(new, redacted(col(text), F.col("spans"), mark))
+    changed = {text_col: col(new)}
+    if "n_chars" in names and text_col != "n_chars":
+        changed["n_chars"] = F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length(new).cast(docs.schema["n_chars"].dataType))
+    return out.select(*(changed.get(c, col(renamed)).alias(c) for c, renamed in names.items()))
