@@ -19,7 +19,9 @@ distinct n-grams of the languages.
 Defined cases: a text that is null or has no letter is ``und`` with score 0; a
 text with letters none of whose n-grams is known gets the commonest language,
 score 0; without learning rows every text is ``und``; ties go to the commoner
-language; repeated rows each get a row; an empty table gives an empty result.
+language; repeated rows each get a row; texts may be of any length; an empty
+table gives an empty result; columns ``lang_pred`` and ``score`` of the input
+stay under that name and an underscore.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import learned, small_batches, stored
+from .common import aside, learned, small_batches, stored
 
 GRAM, HASHES, LEAST, SHARE = 3, 2, 5, 0.2
 BITS = 20  # of the table's length; doubled until languages' filters are sparse
@@ -170,7 +172,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
 
 def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
     """docs with lang_pred and score added; the filters are broadcast once."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    docs, names = aside(docs, ["lang_pred", "score"])
+    kept, text_col = docs.columns, names[text_col]
     shared = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.table, filters.false))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

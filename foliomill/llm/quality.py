@@ -14,8 +14,9 @@ row and the whole of every text.
 Defined cases: a null text is empty and is scored; labels that are null are
 left out, of several for one doc_id the mean decides; without labels, or with
 one kind only, every score is that kind's share (0.5 without any); repeated
-rows each get a row; an empty table gives an empty result; names of further
-columns are free, apart from those that ``scored`` adds.
+rows each get a row; texts may be of any length; texts that tie in all
+statistics get one score; an empty table gives an empty result; columns of the
+input whose names are added stay under that name and an underscore.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import learned, small_batches, stored
+from .common import aside, learned, restored, small_batches, stored
 
 WIDTH, RIDGE, SEED = 256, 1e-2, 7
 PARTS, BINS, MOST_LABELLED = 16, 400, 200_000
@@ -97,7 +98,9 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 def with_statistics(docs: DataFrame, text_col: str = "text", to: str = "stats") -> DataFrame:
     """docs with their statistics in place of the text column."""
-    kept = [c for c in docs.columns if c not in (text_col, to)]
+    docs, names = aside(docs, [to])
+    text_col = names[text_col]
+    kept = [c for c in docs.columns if c != text_col]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -119,12 +122,17 @@ def isotonic(total: np.ndarray, good: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(k), y / n) for y, n, k in blocks])
 
 
-def fit(stats: DataFrame, labels: DataFrame, target: str = "quality", most: int = MOST_LABELLED) -> Model:
-    """Learn from rows of stats (doc_id, stats) that ``learned`` allows and that have a label."""
+def chosen(labels: DataFrame, target: str = "quality", most: int = MOST_LABELLED) -> DataFrame:
+    """(doc_id, mean): the label of each row to learn from, about most of them at most."""
     own = labels.where(F.col(target).isNotNull() & learned(F.col("doc_id"))).groupBy("doc_id").agg(F.avg(F.col(target).cast("double")).alias("mean"))
     n = own.count()
     if n > most:
         own = own.where(F.abs(F.xxhash64("doc_id") % 1_000_003) < int(1_000_003 * most / n))
+    return own
+
+
+def fit(stats: DataFrame, own: DataFrame) -> Model:
+    """Learn from the rows of stats (doc_id, stats) that are ``chosen``."""
     rows = stored(stats.select("doc_id", "stats").join(own, "doc_id").select("stats", (F.col("mean") >= 0.5).cast("int").alias("y"), (F.crc32(F.encode(F.concat(F.col("doc_id").cast("string"), F.lit("c")), "utf-8")) % 4 == 0).alias("calibrate")).coalesce(PARTS), "labelled").coalesce(PARTS)
     d, width = len(NAMES), WIDTH + 1
 
@@ -171,7 +179,9 @@ def fit(stats: DataFrame, labels: DataFrame, target: str = "quality", most: int
 
 def scored(stats: DataFrame, model: Model, column: str = "stats", to: str = "score") -> DataFrame:
     """stats with the score, 0 to 1, in place of the statistics."""
-    kept = [c for c in stats.columns if c not in (column, to)]
+    stats, names = aside(stats, [to])
+    column = names[column]
+    kept = [c for c in stats.columns if c != column]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -183,7 +193,8 @@ def scored(stats: DataFrame, model: Model, column: str = "stats", to: str = "sco
 
 def rated(docs: DataFrame, model: Model, text_col: str = "text", to: str = "score") -> DataFrame:
     """docs with the score of text_col added: statistics and score by one Python worker a task."""
-    kept = [c for c in docs.columns if c != to]
+    docs, names = aside(docs, [to])
+    kept, text_col = docs.columns, names[text_col]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -196,7 +207,10 @@ def rated(docs: DataFrame, model: Model, text_col: str = "text", to: str = "scor
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """docs that score least or more, in their own columns."""
+    """docs that score least or more, in their own columns.  Statistics to learn from are those of ``chosen`` rows alone, told to each task."""
     score = "__foliomill_score"
-    model = fit(with_statistics(docs.select("doc_id", "text")), labels)
-    return rated(docs, model, to=score).where(F.col(score) >= least).select(*docs.columns)
+    own = stored(chosen(labels), "chosen")
+    some = docs.select("doc_id", "text").join(F.broadcast(own.select("doc_id")), "doc_id", "left_semi")  # about MOST_LABELLED ids
+    model = fit(with_statistics(some), own)
+    docs, names = aside(docs, [score])
+    return restored(rated(docs, model, names["text"], score).where(F.col(score) >= least), names)

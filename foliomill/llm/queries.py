@@ -88,7 +88,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stored(quality.with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text")), "stats")
-    model = quality.fit(stats, table(spark, sf_dir, "labels"))
+    model = quality.fit(stats, quality.chosen(table(spark, sf_dir, "labels")))
     found = quality.scored(stats, model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

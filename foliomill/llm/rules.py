@@ -6,7 +6,7 @@ notice), shouting (nearly all letters upper case), symbol noise (more than one
 symbol of ``#*$%&|<>`` for every three words), or one word over and over.  Lines
 that fail are removed.  A document is rejected if it fails the base rules, or
 if its failing lines hold over ``LOSS`` of its words, or if fewer than
-``LEAST_WORDS`` words are left; short texts are judged by the base rules alone.
+``LEAST_WORDS`` words are left; the base rules reject texts of fewer words.
 
 Everything is computed within a row: repeated windows are found by sorting the
 64-bit hashes of a text's own windows, so nothing is shuffled and a hot source
@@ -14,8 +14,9 @@ or group of copies doesn't matter.
 
 Defined cases: a null or empty text has no words, zero counts, fails the base
 rules and keeps no line; a text is one line if it has no line feed; repeated
-rows each get a row; an empty table gives an empty result; further columns
-stay, apart from those that ``annotate`` adds.
+rows each get a row; texts may be of any length; lines that tie as repeats count
+from the second on; an empty table gives an empty result; columns of the input
+whose names ``annotate`` adds stay under that name and an underscore.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE
+from .common import SPACE, aside, col
 
 SYMBOLS = "#*$%&|<>"  # within brackets
 GRAM, LOSS, LEAST_WORDS = 8, 0.5, 20
-WORD = f"[^{SPACE}]++"
+#: A run of other characters than SPACE, named by what is in it, which is matched much faster than a complement.
+WORD = r"[\x00-\x08\x0E-\x1F\x21-\x{10FFFF}]++"
 #: Phrases of boilerplate lines, in lower case; the last only opens a line.
 NOTICES = ("licensed under ", "all rights reserved", "terms of use", "terms of service", "privacy policy", "accept cookies", "accept all cookies", "subscribe to our ", "subscribe to the ", "sign up for ", "click here")
 OPENING = "copyright "
@@ -61,8 +63,8 @@ def union_of(sorted_windows: Column, gram: int = GRAM) -> Column:
 
 
 def of_class(text: Column, kind: str) -> Column:
-    """Number of characters of a kind: the length of what stays when runs of others go."""
-    return F.length(F.regexp_replace(text, f"[^{kind}]++", ""))
+    """Number of characters of a kind: what runs of them take from the text's length."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{kind}]++", ""))
 
 
 def measured(line: Column) -> Column:
@@ -85,11 +87,12 @@ def failing(m: Column) -> Column:
 def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with the base figures, base_failed, kept, cleaned (the text without failing lines) and lost (share of words in them) added."""
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "cleaned", "lost"]
-    docs = docs.drop(*added)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs, names = aside(docs, [*added, "__words", "__lines", "__full", "__hash", "__any", "__sorted", "__good", "__left"])
+    own = [col(c) for c in docs.columns]
+    text = F.coalesce(col(names[text_col]), F.lit(""))
     step = docs.withColumn("__words", word_array(text)).withColumn("__lines", F.split(text, "\n", -1))
     step = step.select(
-        *docs.columns,
+        *own,
         F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         of_class(text, SYMBOLS).cast("long").alias("n_symbols"),
@@ -107,4 +110,4 @@ def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:
     step = step.withColumn("cleaned", F.array_join("__good.line", "\n")).withColumn("__left", F.aggregate("__good.words", F.lit(0), lambda n, w: n + w).cast("long"))
     step = step.withColumn("lost", F.when(F.col("n_words") == 0, F.lit(0.0)).otherwise(1 - F.col("__left") / F.col("n_words")))
     step = step.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= LOSS) & (F.col("__left") >= LEAST_WORDS))
-    return step.select(*docs.columns, *added)
+    return step.select(*own, *added)

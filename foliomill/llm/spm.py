@@ -9,8 +9,10 @@ occurrence whose merged piece forms a pair of equal or better rank with a
 neighbour, as that pair then comes first.  The result equals the library's.
 
 Defined cases: a null or empty text gives begin and end ids only and decodes to
-an empty text; characters outside the vocabulary become byte pieces; repeated
-rows and further columns change nothing; an empty table gives an empty result.
+an empty text; characters outside the vocabulary become byte pieces; of pairs
+that tie the leftmost merges first; texts may be of any length; repeated rows
+change nothing; an empty table gives an empty result; columns of the input whose
+names are added stay under that name and an underscore.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import aside, small_batches
 
 MARK = "▁"
-#: Words kept between batches of a task; the memory bound of the cache, not of the input.
-CACHE = 1 << 18
+#: Words kept between batches of a task, and the longest of them in characters; the memory bound of the cache, not of the input.
+CACHE, LONGEST = 1 << 18, 64
 NONE = np.int64(1 << 40)
 
 
@@ -187,7 +189,11 @@ class Coder:
                 marks = len(w) - len(bare) - (bool(bare) and not lone)
                 cache[w] = np.array(m.marks(marks), "<u4").tobytes() + own[4 * lone :]
         begin, end = (np.array([x], "<u4").tobytes() for x in (m.begin, m.end))
-        return [begin + b"".join([cache[w] for w in x]) + end for x in cut]
+        out = [begin + b"".join([cache[w] for w in x]) + end for x in cut]
+        for w in new:
+            if len(w) > LONGEST:
+                del cache[w]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The library's decode(ids): control pieces vanish, the dummy prefix goes, wrong bytes become U+FFFD."""
@@ -217,8 +223,8 @@ def pieces(raw: bytes) -> Iterator[str]:
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """docs with ids_col (array<int>) added: the ids of each text."""
-    schema = docs.schema
-    kept = [c for c in docs.columns if c != ids_col]
+    docs, names = aside(docs, [ids_col])
+    schema, kept, text_col = docs.schema, docs.columns, names[text_col]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(model_path)
@@ -235,7 +241,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: st
 
 def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """coded with text_col added: the text that its ids spell; null ids give an empty text."""
-    kept = [c for c in coded.columns if c != text_col]
+    coded, names = aside(coded, [text_col])
+    kept, ids_col = coded.columns, names[ids_col]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(model_path)
@@ -250,7 +257,9 @@ def decode(coded: DataFrame, model_path: str, ids_col: str = "ids", text_col: st
 
 def round_trip(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """docs with ids_col and decoded_col in place of the text: encoded, then decoded from the ids, by one Python worker a task."""
-    kept = [c for c in docs.columns if c not in (text_col, ids_col, decoded_col)]
+    docs, names = aside(docs, [ids_col, decoded_col])
+    text_col = names[text_col]
+    kept = [c for c in docs.columns if c != text_col]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(model_path)

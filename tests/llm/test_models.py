@@ -22,7 +22,7 @@ def test_folds_follow_the_checksum(spark):
 def test_quality_is_learned(spark):
     docs, own = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     stats = quality.with_statistics(docs.select("doc_id", "text"))
-    rows = quality.scored(stats, quality.fit(stats, own)).join(own, "doc_id").where(held_out(F.col("doc_id"))).collect()
+    rows = quality.scored(stats, quality.fit(stats, quality.chosen(own))).join(own, "doc_id").where(held_out(F.col("doc_id"))).collect()
     hit = np.mean([(r["score"] >= 0.3) == (r["quality"] == 1) for r in rows])
     assert len(rows) > 50 and hit >= 0.95 and all(0 <= r["score"] <= 1 for r in rows)
 
@@ -31,9 +31,9 @@ def test_quality_is_learned(spark):
 def test_quality_without_enough_labels(spark, rows):
     docs = documents(spark)
     stats = quality.with_statistics(docs.select("doc_id", "text"))
-    got = quality.scored(stats, quality.fit(stats, labels(spark, rows))).collect()
+    got = quality.scored(stats, quality.fit(stats, quality.chosen(labels(spark, rows)))).collect()
     assert len(got) == len(TEXTS) and all(0 <= r["score"] <= 1 for r in got)
-    model = quality.fit(stats, labels(spark, rows))
+    model = quality.fit(stats, quality.chosen(labels(spark, rows)))
     assert {(r["doc_id"], round(r["score"], 9)) for r in quality.rated(docs, model).collect()} == {(r["doc_id"], round(r["score"], 9)) for r in quality.scored(stats, model).collect()}
     kept = quality.keep_good(docs, labels(spark, rows), 0.0)
     assert kept.columns == docs.columns and kept.count() == len(TEXTS)
