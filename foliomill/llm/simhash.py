@@ -7,16 +7,23 @@ members of one variant's bucket form a clique, so a star to the smallest member
 keeps every link without emitting pairs.
 
 The ball is not shuffled variant by variant.  Variants are dealt by their top
-``ROUTE_BITS`` bits, and all variants of a fingerprint with the same top bits
-travel as one row (79 rows for 12 bits instead of 2081); the receiving task
-expands them.  A route with many fingerprints is split further by its next
-bits, so memory in a task is bounded by ``CHUNK`` variants.
-
-Defined cases: a null text counts as empty; a text without words has the zero
-fingerprint and links like any other; repeated rows each get a result row; a
-null doc_id takes part in links but is never a component's smallest id (null
-only where a whole component has none); an empty table gives an empty result;
-further columns of the input are ignored.
+bits, and all variants of a fingerprint with the same top bits travel as one
+row (79 rows for 12 bits instead of 2081); the receiving task expands them.  A
+prefix that more than ``CROWD`` fingerprints have is dealt by ``STEP`` more
+bits, and so on, so a task holds few fingerprints however many there are; of
+these it expands ``CHUNK`` variants at once.
+
+Joins on nodes and roots may meet hubs.  Keys with more than 1 / ``SHARE`` of
+all rows, of which there can be no more than ``SHARE``, are broadcast, so their
+rows stay where they are; only the others are shuffled.
+
+Defined cases: a null text counts as empty; texts may be of any length; a text
+without words has the zero fingerprint and links like any other; repeated rows
+each get a result row; a null doc_id takes part in links but is never a
+component's smallest id (null only where a whole component has none); among
+rows that tie for a component's place the first stored stays; an empty table
+gives an empty result; further columns of the input are ignored by
+``near_duplicates`` and kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -31,10 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stored
+from .common import aside, discard, restored, small_batches, stored
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
 ROUTE_BITS, CHUNK = 12, 1 << 21
+#: Fingerprints of one prefix beyond which it is dealt by STEP more bits, up to MOST_BITS; parts of all rows beyond which a key is a hub.
+CROWD, STEP, MOST_BITS, SHARE = 1 << 17, 6, 48, 256
 
 
 def hashes(text: str, words: int = SHINGLE) -> np.ndarray:
@@ -133,22 +142,55 @@ def contracted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
+def crowded(distinct: DataFrame) -> dict[int, np.ndarray]:
+    """Bits to the sorted prefixes of so many bits that over CROWD fingerprints have: at most 1 / CROWD of their number for each."""
+    found: dict[int, np.ndarray] = {}
+    for bits in range(ROUTE_BITS, MOST_BITS, STEP):
+        top = F.shiftrightunsigned("fp", 64 - bits)
+        rows = distinct.groupBy(top.alias("top")).count().where(F.col("count") > CROWD).select("top").collect()
+        if not rows:
+            break
+        found[bits] = np.sort(np.array([r[0] for r in rows], np.uint64))
+    return found
+
+
+def routes(fp: np.ndarray, crowds: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(route, index in fp): where variants within half the radius go; a route holds its number of bits in its top byte."""
+    at, top = np.arange(len(fp)), np.zeros(len(fp), np.uint64)
+    left = np.full(len(fp), RADIUS // 2)
+    bits = 0
+    while len(at):
+        step = STEP if bits else ROUTE_BITS
+        bits += step
+        own = (fp[at] >> np.uint64(64 - bits)) & np.uint64((1 << step) - 1)
+        parts = []
+        for j in np.unique(left).tolist():
+            mine, m = np.flatnonzero(left == j), masks(step, j)
+            parts.append((np.repeat(mine, len(m)), (own[mine, None] ^ m[None, :]).ravel(), np.repeat(j, len(mine) * len(m)) - np.tile(np.bitwise_count(m), len(mine)).astype(np.int64)))
+        which, low, left = (np.concatenate(x) for x in zip(*parts, strict=True))
+        at, top = at[which], (top[which] << np.uint64(step)) | low
+        full = np.isin(top, crowds[bits]) if bits in crowds else np.zeros(len(at), bool)
+        yield (top[~full] | np.uint64(bits << 56)).view(np.int64), at[~full]
+        at, top, left = at[full], top[full], left[full]
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """(hi, lo): links between distinct fingerprints that keep every component of the relation 'at most RADIUS bits apart'."""
-    half, low_bits = RADIUS // 2, 64 - ROUTE_BITS
+    crowds = crowded(distinct)
 
     def emit(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flips = masks(ROUTE_BITS, half)
         for part in parts:
             fp = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for at in range(0, len(fp), 4096):
-                x = fp[at : at + 4096]
-                route = (x.view(np.uint64) >> np.uint64(low_bits))[:, None] ^ flips[None, :]
-                yield pa.RecordBatch.from_arrays([pa.array(route.ravel().astype(np.int32)), pa.array(np.repeat(x, len(flips)))], ["route", "fp"])
+            for begin in range(0, len(fp), 4096):
+                x = fp[begin : begin + 4096]
+                for route, at in routes(x.view(np.uint64), crowds):
+                    yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(x[at])], ["route", "fp"])
 
     def group(route: int, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-        left = half - np.bitwise_count((fp.view(np.uint64) >> np.uint64(low_bits)) ^ np.uint64(route)).astype(np.int64)
-        for hi, lo in stars(fp.view(np.uint64), left, low_bits):
+        bits = route >> 56
+        top = np.uint64(route & ((1 << 56) - 1))
+        left = RADIUS // 2 - np.bitwise_count((fp.view(np.uint64) >> np.uint64(64 - bits)) ^ top).astype(np.int64)
+        for hi, lo in stars(fp.view(np.uint64), left, 64 - bits):
             yield pa.RecordBatch.from_arrays([pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], ["hi", "lo"])
 
     def collide(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,10 +207,17 @@ def links(distinct: DataFrame) -> DataFrame:
         if held:
             yield from group(now, np.concatenate(held))
 
-    dealt = distinct.select("fp").mapInArrow(emit, "route int, fp long").repartition("route").sortWithinPartitions("route")
+    dealt = distinct.select("fp").mapInArrow(emit, "route long, fp long").repartition("route").sortWithinPartitions("route")
     return dealt.mapInArrow(collide, "hi long, lo long").distinct()
 
 
+def matched(rows: DataFrame, own: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined with own, which has one row for each key and in n the number of rows of that key; total: all rows.  Hubs don't move."""
+    hubs = F.broadcast(own.where(F.col("n") * SHARE > total).drop("n"))  # at most SHARE rows
+    rest = own.where(F.col("n") * SHARE <= total).drop("n")
+    return rows.join(hubs, key).unionByName(rows.join(hubs.select(key), key, "left_anti").join(rest, key))
+
+
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root): alternating large-star and small-star steps until nothing changes; root is a component's smallest node.
 
@@ -177,17 +226,20 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     def sign(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo")), F.sum(F.hash("hi", "lo").cast("long"))).first())
 
+    n = F.count(F.lit(1)).alias("n")
     now = stored(edges.where("hi <> lo").select(F.greatest("hi", "lo").alias("hi"), F.least("hi", "lo").alias("lo")).distinct(), "links")
     before = sign(now)
     for _ in range(most):
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        met = large.join(least, "hi")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), n).select("u", F.least("u", "m").alias("m"), "n")
+        large = stored(matched(both, least, "u", 2 * before[0]).where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"), n)
+        met = matched(large, least, "hi", before[0])
         small = met.select("hi", F.col("m").alias("lo")).union(met.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).distinct()
-        now = stored(small, "stars")
+        old, now = now, stored(small, "stars")
         after = sign(now)
+        discard(old)
+        discard(large)
         if after == before:
             break
         before = after
@@ -196,18 +248,21 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(now.select("lo", "lo").distinct())
 
 
-def rooted(distinct: DataFrame) -> DataFrame:
-    """distinct, a row for each fingerprint fp, with the smallest fingerprint of its component as root."""
-    root = components(links(distinct))
-    return distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+def least_of_components(distinct: DataFrame, value: str) -> DataFrame:
+    """(fp, value): for each fingerprint of distinct (fp, value) the smallest value of its component."""
+    root = stored(components(links(distinct.select("fp"))).withColumnRenamed("node", "fp"), "roots")
+    own = distinct.join(root, "fp")
+    least = stored(own.groupBy("root").agg(F.min(value).alias("least"), F.count(F.lit(1)).alias("n")), "least")
+    joined = matched(root, least, "root", root.count()).select("fp", F.col("least").alias(value))
+    return joined.union(distinct.join(root.select("fp"), "fp", "left_anti").select("fp", value))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id: the smallest doc_id reachable over links, itself included."""
     fps = stored(fingerprints(docs, id_col, text_col), "fingerprints")
-    found = rooted(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    smallest = found.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(found.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "fp", "left").select("doc_id", "fp", "component_id")
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n")), "distinct")
+    found = least_of_components(distinct.select("fp", "component_id"), "component_id").join(distinct.select("fp", "n"), "fp")
+    return matched(fps, found, "fp", fps.count()).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -215,9 +270,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows are told apart by a number that is written with them, so null and repeated ids neither lose a component nor meet in one task."""
     key = "__foliomill_row"
+    docs, names = aside(docs, [key])
     numbered = stored(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
-    fps = stored(fingerprints(numbered, more=(key,)), "fingerprints")
+    fps = stored(fingerprints(numbered, names["doc_id"], names["text"], (key,)), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key)).alias("first")
-    found = rooted(fps.groupBy("fp").agg(first))
-    chosen = found.groupBy("root").agg(F.min("first").alias("first")).select(F.col(f"first.{key}").alias(key))
-    return numbered.join(chosen, key, "left_semi").select(*docs.columns)
+    distinct = stored(fps.groupBy("fp").agg(first), "distinct")
+    chosen = least_of_components(distinct, "first").select(F.col(f"first.{key}").alias(key)).distinct()
+    return restored(numbered.join(chosen, key, "left_semi"), names)

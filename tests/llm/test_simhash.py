@@ -58,8 +58,9 @@ def near(seed, n, clusters):
 
 def test_components_equal_brute_force(spark, monkeypatch):
     values = near(1, 12, 25) + [0, 1, -1, -2, 15, 16] + [random.Random(3).getrandbits(63) for _ in range(200)]
-    for chunk in (1 << 21, 3000):  # the second splits routes by their next bits
-        monkeypatch.setattr(simhash, "CHUNK", chunk)
+    for chunk, crowd, share in ((1 << 21, 1 << 17, 256), (3000, 3, 256), (1 << 21, 1, 4)):  # the others split routes by their next bits, and broadcast hubs
+        for name, value in (("CHUNK", chunk), ("CROWD", crowd), ("SHARE", share)):
+            monkeypatch.setattr(simhash, name, value)
         distinct = spark.createDataFrame([(v,) for v in sorted(set(values))], "fp long").repartition(3)
         found = {r["node"]: r["root"] for r in simhash.components(simhash.links(distinct)).collect()}
         want = groups(values)
