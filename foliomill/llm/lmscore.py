@@ -8,19 +8,23 @@ exactly: executors count those of the highest order, and those of lower orders
 and all contexts are sums of them, so the tables grow with the grams found.  A
 probability is Dirichlet-smoothed order by order down to uniform.
 
-As the background has every gram of every document, a model is one loss a gram,
-reckoned by joins.  Up to ``MOST_GRAMS`` of them are broadcast; if there are
-more, documents are put in groups of ``GROUP`` rows, and each group is given the
-losses of its own grams by a shuffle.
+No document is scored by a model that has counted it.  Documents fall into
+``FOLDS`` folds by their ids, and those of a fold are scored by two models of
+all other folds.  A table of every gram of every document holds its losses under
+the models of each fold, reckoned by joins.  Up to ``MOST_GRAMS`` grams are
+broadcast; if there are more, documents are put in groups of ``GROUP`` rows, and
+each group is given the losses of its own grams by a shuffle.
 
 A document's score is the mean over its tokens of loss(target) -
 loss(background), in bits: below 0 it is more like the target.
 
 Defined cases: a null or empty text has no tokens, losses and score 0; a text's
-first tokens follow begin marks; rows whose doc_id is null are in no target;
-without a target row both models are uniform or background, so scores compare
-the background with a uniform model; repeated rows are counted and scored each;
-an empty table gives an empty result.
+first tokens follow begin marks; texts may be of any length; rows whose doc_id
+is null are in no target and of one fold; without a target row the target model
+is uniform, so scores compare the background with that; repeated rows are
+counted and scored each, rows of one id in one fold; equal texts of one fold tie;
+an empty table gives an empty result; the columns ``ADDED`` of the input stay
+under that name and an underscore.
 """
 
 from __future__ import annotations
@@ -34,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, stored
+from .common import aside, small_batches, stored
 
-ORDER, LEAST, ALPHA = 4, 5, 8.0
+ORDER, LEAST, ALPHA, FOLDS = 4, 5, 8.0, 4
 #: Bits of a token in a pair of tokens; a gram is two pairs, the older and the newer.
 TOKEN_BITS = 21
 #: Losses of up to so many grams are broadcast.
-MOST_GRAMS = 1 << 21
+MOST_GRAMS = 1 << 20
 #: Rows of a group of documents where they aren't, and grams that a counting task holds at once.
 GROUP, HELD = 2048, 1 << 21
 #: Ids of ids sets up to this size are broadcast.
@@ -119,122 +123,144 @@ def blocks(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def gathered(docs: DataFrame, ids: np.ndarray, text_col: str, flag: str) -> DataFrame:
-    """(older, newer, background, target): counts of all grams of the highest order."""
+def names_of(folds: int) -> list[tuple[str, str]]:
+    """The columns of each fold: counts or losses of background and target."""
+    return [(f"background_{k}", f"target_{k}") for k in range(folds)]
+
+
+def gathered(docs: DataFrame, ids: np.ndarray, text_col: str, flag: str, fold: str, folds: int) -> DataFrame:
+    """(older, newer, background and target of each fold): counts of all grams of the highest order in the fold's own documents."""
     shared, size = docs.sparkSession.sparkContext.broadcast(ids), int(ids.max()) + 1
+    Held = dict[int, list[tuple[np.ndarray, np.ndarray]]]
 
-    def merged(some: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        key, background, target = (np.concatenate(x) for x in zip(*some, strict=True))
+    def merged(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        key, n = (np.concatenate(x) for x in zip(*some, strict=True))
         found, at = np.unique(key, return_inverse=True)
-        return found, *(np.bincount(at, n, len(found)).astype(np.int64) for n in (background, target))
+        return found, np.bincount(at, n, len(found)).astype(np.int64)
 
-    def out(some: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        key, *counts = merged(some)
-        for i in range(0, len(key), 1 << 18):
-            columns = [*pairs(key[i : i + (1 << 18)], size), *(n[i : i + (1 << 18)] for n in counts)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["older", "newer", "background", "target"])
+    def out(held: Held) -> Iterator[pa.RecordBatch]:
+        for cell, some in held.items():
+            key, n = merged(some)
+            for i in range(0, len(key), 1 << 18):
+                part = slice(i, i + (1 << 18))
+                columns = [*pairs(key[part], size), np.full(len(key[part]), cell), n[part]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["older", "newer", "cell", "n"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        held: Held = {}
         for part in parts:
-            chosen = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            cells = part.column(1).to_numpy(zero_copy_only=False)
             texts = [x.as_py() or "" for x in part.column(0)]
-            for wanted in (False, True):
-                for some in blocks([t for t, c in zip(texts, chosen.tolist(), strict=True) if c == wanted]):
-                    key, n = np.unique(grams(some, shared.value, size)[0], return_counts=True)
-                    held.append((key, n, n * wanted))
-            if sum(len(x[0]) for x in held) > HELD:
-                held = [merged(held)]
-                if len(held[0][0]) > HELD // 2:
+            for cell in np.unique(cells).tolist():
+                for some in blocks([t for t, c in zip(texts, cells.tolist(), strict=True) if c == cell]):
+                    held.setdefault(cell, []).append(np.unique(grams(some, shared.value, size)[0], return_counts=True))
+            if sum(len(x[0]) for some in held.values() for x in some) > HELD:
+                held = {cell: [merged(some)] for cell, some in held.items()}
+                if sum(len(some[0][0]) for some in held.values()) > HELD // 2:
                     yield from out(held)
-                    held = []
-        if held:
-            yield from out(held)
+                    held = {}
+        yield from out(held)
 
     small_batches(docs.sparkSession, 1024)
-    return docs.select(text_col, flag).mapInArrow(run, "older long, newer long, background long, target long").groupBy("older", "newer").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    cell = 2 * F.col(fold) + F.col(flag).cast("int")  # fold, and whether of the target
+    counted = docs.select(text_col, cell.alias("cell")).mapInArrow(run, "older long, newer long, cell long, n long")
+    of = lambda wanted: F.coalesce(F.sum(F.when(wanted, F.col("n"))), F.lit(0))
+    sums = [x for k, (b, t) in enumerate(names_of(folds)) for x in (of(F.floor(F.col("cell") / 2) == k).alias(b), of(F.col("cell") == 2 * k + 1).alias(t))]
+    return counted.groupBy("older", "newer").agg(*sums)
 
 
-def models(counts: DataFrame, size: int) -> DataFrame:
-    """(older, newer, background_loss, target_loss): the loss in bits of each gram's last token, from gathered()."""
+def models(counts: DataFrame, size: int, folds: int) -> DataFrame:
+    """(older, newer, losses): the loss in bits of each gram's last token under the models for each fold, from gathered()."""
     low = (1 << TOKEN_BITS) - 1
-    names, both = ["a", "b", "c", "d"], ["background", "target"]
-    sums = [F.sum(m).alias(m) for m in both]
+    names, each = ["a", "b", "c", "d"], [m for pair in names_of(folds) for m in pair]
+    sums = [F.sum(m).alias(m) for m in each]
     split = [F.shiftright(p, TOKEN_BITS) if k == 0 else F.col(p).bitwiseAND(F.lit(low)) for p in ("older", "newer") for k in (0, 1)]
-    now = counts.select(*(x.alias(n) for n, x in zip(names, split, strict=True)), *both)
+    kinds = list(zip(*names_of(folds), strict=True))
+    others = [(sum((F.col(x) for x in kind), F.lit(0)) - F.col(m)).cast("long").alias(m) if folds > 1 else F.col(m) for pair in names_of(folds) for m, kind in zip(pair, kinds, strict=True)]
+    now = counts.select(*(x.alias(n) for n, x in zip(names, split, strict=True)), *others)
     of = {4: now}
     for k in (3, 2, 1):  # each position's gram of a lower order is the end of its gram of the next higher one
         of[k] = stored(of[k + 1].groupBy(names[4 - k :]).agg(*sums), "grams")
     total = of[1].agg(*sums).first()
-    p = of[1].select("d", *(((F.col(m) + ALPHA / size) / (F.lit(float(total[m] or 0)) + ALPHA)).alias(f"p_{m}") for m in both))
+    p = of[1].select("d", *(((F.col(m) + ALPHA / size) / (F.lit(float(total[m] or 0)) + ALPHA)).alias(f"p_{m}") for m in each))
     for k in (2, 3, 4):
-        before = of[k].groupBy(names[4 - k : 3]).agg(*(F.sum(m).alias(f"all_{m}") for m in both))
+        before = of[k].groupBy(names[4 - k : 3]).agg(*(F.sum(m).alias(f"all_{m}") for m in each))
         met = of[k].join(before, names[4 - k : 3]).join(p, names[5 - k :])
-        p = met.select(*names[4 - k :], *(((F.col(m) + ALPHA * F.col(f"p_{m}")) / (F.col(f"all_{m}") + ALPHA)).alias(f"p_{m}") for m in both))
+        p = met.select(*names[4 - k :], *(((F.col(m) + ALPHA * F.col(f"p_{m}")) / (F.col(f"all_{m}") + ALPHA)).alias(f"p_{m}") for m in each))
     pair = lambda x, y: F.shiftleft(x, TOKEN_BITS).bitwiseOR(F.col(y))
-    return p.select(pair("a", "b").alias("older"), pair("c", "d").alias("newer"), *((-F.log2(f"p_{m}")).alias(f"{m}_loss") for m in both))
+    return p.select(pair("a", "b").alias("older"), pair("c", "d").alias("newer"), *((-F.log2(f"p_{m}")).alias(m) for m in each))
 
 
-def model_arrays(found: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted keys, and their losses under background and target."""
-    older, newer, *own = (found.column(c).to_numpy() for c in ("older", "newer", "background_loss", "target_loss"))
-    key = keys(older, newer, size)
+Arrays = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def model_arrays(found: pa.Table, size: int, folds: int) -> Arrays:
+    """Sorted keys, and their losses under background and target: a column for each fold."""
+    key = keys(*(found.column(c).to_numpy() for c in ("older", "newer")), size)
     order = np.argsort(key)
-    return key[order], *(x[order] for x in own)
+    return key[order], *(np.stack([found.column(c).to_numpy()[order] for c in kind], 1) for kind in zip(*names_of(folds), strict=True))
 
 
-def losses(texts: list[str], ids: np.ndarray, model: tuple[np.ndarray, ...], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def losses(texts: list[str], fold: np.ndarray, ids: np.ndarray, model: Arrays, size: int) -> Arrays:
     """Tokens, and summed loss in bits under background and target, of each text; the model has every gram of the texts."""
     key, sizes = grams(texts, ids, size)
     at = np.searchsorted(model[0], key)
     own = np.repeat(np.arange(len(texts)), sizes)
-    return sizes, *(np.bincount(own, x[at], len(texts)) for x in model[1:])
+    return sizes, *(np.bincount(own, x[at, fold[own]], len(texts)) for x in model[1:])
 
 
 ADDED = ["n_tokens", "target_loss", "background_loss", "score"]
 
 
-def figures(texts: list[str], ids: np.ndarray, model: tuple[np.ndarray, ...], size: int) -> list[pa.Array]:
+def figures(texts: list[str], fold: np.ndarray, ids: np.ndarray, model: Arrays, size: int) -> list[pa.Array]:
     """The columns ADDED of all texts."""
-    found = [losses(some, ids, model, size) for some in blocks(texts)] or [(np.empty(0),) * 3]
+    found, at = [(np.empty(0),) * 3], 0
+    for some in blocks(texts):
+        found.append(losses(some, fold[at : at + len(some)], ids, model, size))
+        at += len(some)
     n, background, target = (np.concatenate(x) for x in zip(*found, strict=True))
     each = np.maximum(n, 1)
     return [pa.array(n.astype(np.int64)), pa.array(target / each), pa.array(background / each), pa.array((target - background) / each)]
 
 
-def score(docs: DataFrame, target_ids: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs without the text, with n_tokens, target_loss, background_loss and score (bits a token) added; target_ids (doc_id): the target documents."""
-    flag = "__foliomill_target"
+def score(docs: DataFrame, target_ids: DataFrame, text_col: str = "text", folds: int = FOLDS) -> DataFrame:
+    """docs without the text, with n_tokens, target_loss, background_loss and score (bits a token) added; target_ids (doc_id): the target documents.
+
+    With one fold the models have counted what they score."""
+    flag, fold = "__foliomill_target", "__foliomill_fold"
+    docs, names = aside(docs, [*ADDED, flag, fold])
+    text_col = names[text_col]
+    kept = [c for c in docs.columns if c != text_col]
+    docs = docs.withColumn(fold, F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(folds)).cast("long"))
     wanted = target_ids.where("doc_id is not null").select("doc_id").distinct()
     if wanted.count() <= MOST_IDS:
         wanted = F.broadcast(wanted)
     flagged = docs.join(wanted.withColumn(flag, F.lit(True)), "doc_id", "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
     ids = vocabulary(docs, text_col)
     size = int(ids.max()) + 1
-    model = stored(models(stored(gathered(flagged, ids, text_col, flag), "counts"), size), "losses")
+    model = stored(models(stored(gathered(flagged, ids, text_col, flag, fold, folds), "counts"), size, folds), "losses")
     shared_ids = docs.sparkSession.sparkContext.broadcast(ids)
-    kept = [c for c in docs.columns if c not in (text_col, *ADDED)]
     fields = [T.StructField("n_tokens", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ADDED[1:])]
     schema = T.StructType([*(f for f in docs.schema if f.name in kept), *fields])
     small_batches(docs.sparkSession)
     if model.count() > MOST_GRAMS:
-        return by_groups(docs, model, shared_ids, text_col, kept, schema, size)
-    shared = docs.sparkSession.sparkContext.broadcast(model_arrays(model.toArrow(), size))
+        return by_groups(docs, model, shared_ids, text_col, fold, kept, schema, size, folds)
+    shared = docs.sparkSession.sparkContext.broadcast(model_arrays(model.toArrow(), size, folds))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = [x.as_py() or "" for x in part.column(part.schema.get_field_index(text_col))]
-            more = figures(texts, shared_ids.value, shared.value, size)
+            texts, own = (part.column(part.schema.get_field_index(c)) for c in (text_col, fold))
+            more = figures([x.as_py() or "" for x in texts], own.to_numpy(), shared_ids.value, shared.value, size)
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), *more], [*kept, *ADDED])
 
     return docs.mapInArrow(run, schema)
 
 
-def by_groups(docs: DataFrame, model: DataFrame, ids: Broadcast, text_col: str, kept: list[str], schema: T.StructType, size: int) -> DataFrame:
+def by_groups(docs: DataFrame, model: DataFrame, ids: Broadcast, text_col: str, fold: str, kept: list[str], schema: T.StructType, size: int, folds: int) -> DataFrame:
     """score() with a model of any size: each group of rows meets the losses of its own grams."""
     group = "__foliomill_group"
     row = F.monotonically_increasing_id()
-    numbered = stored(docs.select(*kept, text_col).withColumn(group, row - row % GROUP), "grouped")
+    numbered = stored(docs.select(*kept, text_col, fold).withColumn(group, row - row % GROUP), "grouped")
 
     def wanted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -256,7 +282,7 @@ def by_groups(docs: DataFrame, model: DataFrame, ids: Broadcast, text_col: str,
             yield from out()
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        more = figures([x.as_py() or "" for x in left.column(text_col)], ids.value, model_arrays(right, size), size)
+        more = figures([x.as_py() or "" for x in left.column(text_col)], left.column(fold).to_numpy(), ids.value, model_arrays(right, size, folds), size)
         return pa.table([*(left.column(c) for c in kept), *more], names=[*kept, *ADDED])
 
     met = numbered.select(text_col, group).mapInArrow(wanted, f"{group} long, older long, newer long").distinct().join(model, ["older", "newer"])

@@ -77,8 +77,8 @@ def test_language_of_odd_texts(spark):
     assert langid.identify(documents(spark, [], []), nothing).count() == 0
 
 
-def plain_losses(texts, target, text):
-    """The models by dictionaries, without hashing."""
+def plain_losses(texts, target, text, counted=None):
+    """The models by dictionaries, without hashing; counted: whether each text is in the models."""
     from collections import Counter
 
     seen = Counter("".join(texts))
@@ -87,7 +87,8 @@ def plain_losses(texts, target, text):
     size = len(known) + 2
     ids = lambda t: [0] * (lmscore.ORDER - 1) + [token.get(c, 1) for c in t]
     out = []
-    for own in (texts, [t for t, y in zip(texts, target, strict=True) if y]):
+    counted = counted or [True] * len(texts)
+    for own in ([t for t, c in zip(texts, counted, strict=True) if c], [t for t, y, c in zip(texts, target, counted, strict=True) if y and c]):
         grams, ctx = Counter(), Counter()
         for t in own:
             s = ids(t)
@@ -109,7 +110,7 @@ def test_losses_equal_a_plain_version(spark):
     texts = ["the station of the nation", "la mention de la station", "abc abc abc the the", "éé the station", ""] * 3
     target = [1, 0, 0, 1, 0] * 3
     good = spark.createDataFrame([(i,) for i, y in enumerate(target) if y] + [(None,), (0,)], "doc_id long")
-    rows = {r["doc_id"]: r for r in lmscore.score(documents(spark, texts).select("doc_id", "text"), good).collect()}
+    rows = {r["doc_id"]: r for r in lmscore.score(documents(spark, texts).select("doc_id", "text"), good, folds=1).collect()}
     for i, t in enumerate(texts):
         background, wanted = plain_losses(texts, target, t)
         assert rows[i]["n_tokens"] == len(t)
@@ -131,7 +132,7 @@ def test_losses_stay_exact_with_many_grams(spark, monkeypatch, most):
     monkeypatch.setattr(lmscore, "GROUP", 7)
     texts = alphabet(3000, 40) + ["", None]  # 120,000 characters, nearly as many grams of order 4
     good = spark.createDataFrame([(i,) for i in range(0, len(texts), 2)], "doc_id long")
-    rows = {r["doc_id"]: r for r in lmscore.score(documents(spark, texts).select("doc_id", "text", "lang"), good).collect()}
+    rows = {r["doc_id"]: r for r in lmscore.score(documents(spark, texts).select("doc_id", "text", "lang"), good, folds=1).collect()}
     assert len(rows) == len(texts) and rows[41]["n_tokens"] == 0 and rows[41]["score"] == 0
     plain = [t or "" for t in texts]
     for i in (0, 1):
@@ -139,6 +140,22 @@ def test_losses_stay_exact_with_many_grams(spark, monkeypatch, most):
         assert np.isclose(rows[i]["background_loss"], background, atol=1e-9) and np.isclose(rows[i]["target_loss"], wanted, atol=1e-9)
 
 
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_no_text_is_scored_by_models_that_counted_it(spark, monkeypatch, most):
+    monkeypatch.setattr(lmscore, "MOST_GRAMS", most)
+    monkeypatch.setattr(lmscore, "GROUP", 3)
+    texts = ["the station of the nation", "la mention de la station", "abc abc abc the the", "a station, the one", "nation", ""] * 4
+    good = [i % 3 == 0 for i in range(len(texts))]
+    docs = documents(spark, texts).withColumn("score", F.lit("mine"))
+    fold = {r["doc_id"]: r["f"] for r in docs.select("doc_id", F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(4)).alias("f")).collect()}
+    rows = {r["doc_id"]: r for r in lmscore.score(docs, spark.createDataFrame([(i,) for i, y in enumerate(good) if y], "doc_id long")).collect()}
+    assert len(set(fold.values())) == 4 and rows[0]["score_"] == "mine"
+    for i, t in enumerate(texts):
+        background, wanted = plain_losses(texts, good, t, [fold[k] != fold[i] for k in range(len(texts))])
+        assert np.isclose(rows[i]["background_loss"], background, atol=1e-9) and np.isclose(rows[i]["target_loss"], wanted, atol=1e-9)
+        assert np.isclose(rows[i]["score"], wanted - background, atol=1e-9)
+
+
 @pytest.mark.parametrize("size", [2, 300, 1 << 15, 1 << 16, 0x110000])
 def test_keys_of_grams_are_exact(size):
     r = np.random.default_rng(5)
