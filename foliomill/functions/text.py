@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -206,15 +207,22 @@ def numbers(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"(\d+)"), F.lit(1)), lambda x: x.try_cast("long"))
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def snippet(text: Column, words: Column, before: int = 130, after: int = 230) -> Column:
     """Text around the earliest of the words, white space collapsed, ellipses where it is cut; null without a hit."""
-    plain = normalised(text)
-    hits = F.filter(F.transform(words, lambda w: F.struct(F.call_function("instr", plain, w).alias("at"), F.length(w).alias("n"))), lambda h: h["at"] > 0)
-    first = F.array_min(hits)
-    begin = F.greatest(first["at"] - 1 - before, F.lit(0))
-    end = F.least(F.length(text), first["at"] - 1 + first["n"] + after)
-    body = collapsed(F.substring(text, begin + 1, end - begin))
-    return F.when(F.size(hits) > 0, F.concat(F.when(begin > 0, "… ").otherwise(""), body, F.when(end < F.length(text), " …").otherwise("")))
+
+    def shown(first: Column) -> Column:
+        begin = F.greatest(first["at"] - 1 - before, F.lit(0))
+        end = F.least(F.length(text), first["at"] - 1 + first["n"] + after)
+        body = collapsed(F.substring(text, begin + 1, end - begin))
+        return F.when(first.isNotNull(), F.concat(F.when(begin > 0, "… ").otherwise(""), body, F.when(end < F.length(text), " …").otherwise("")))
+
+    hits = lambda plain: F.array_min(F.filter(F.transform(words, lambda w: F.struct(F.call_function("instr", plain, w).alias("at"), F.length(w).alias("n"))), lambda h: h["at"] > 0))
+    return let(let(normalised(text), hits), shown)
 
 
 def highlighted(text: Column, words: Column, least: int = 1) -> Column:

@@ -69,3 +69,16 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """docs (doc, type, rank, year, number) with the documents before and after in the listing of their type, and the place."""
     w = Window.partitionBy("type").orderBy(*list_order())
     return docs.withColumn("before", F.lag("doc").over(w)).withColumn("after", F.lead("doc").over(w)).withColumn("place", F.row_number().over(w))
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """docs (doc, rank, year, number, title) with place: from 0, in the global order of rank, year ('0000' if null or empty), number and title; ties by doc.
+
+    Rows are numbered within each rank and year; of these only counts are summed up in order, so no task sorts all documents."""
+    year = F.when(F.coalesce("year", F.lit("")) == "", "0000").otherwise(F.col("year"))
+    own = docs.withColumn("__year", year)
+    counts = own.groupBy("rank", "__year").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("rank", "__year").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each rank and year
+    within = F.row_number().over(Window.partitionBy("rank", "__year").orderBy("number", "title", "doc")) - 1
+    met = own.withColumn("__within", within).join(F.broadcast(counts.withColumn("__before", before).drop("n")), ["rank", "__year"])
+    return met.withColumn("place", F.col("__before") + F.col("__within")).select(*docs.columns, "place")

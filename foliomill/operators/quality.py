@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 
 def series(numbers: DataFrame) -> DataFrame:
     """numbers (doc, place, n) with series, from 1: a new one begins where n falls."""
@@ -56,18 +58,40 @@ def rollup(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_findings(pages: DataFrame) -> DataFrame:
-    """(page, level, rule) for each check that a page (page, html) fails."""
+#: Fixed value: where the text of a page of texts stands.
+TEXT_BODY = r'(?s)<div class="corps-texte"[^>]*>(.*?)\n  </div>'
+LONG_TITLE, SHORT_BODY = 130, 200
+
+
+def page_findings(pages: DataFrame, body: str = TEXT_BODY) -> DataFrame:
+    """(page, level, rule) for each check that a page (page, html, is_text) fails; only pages of texts need a body."""
+    # Patterns of a page's parts.
+    titles, descriptions, canonical, heads = r"(?s)<title>(.*?)</title>", r'<meta name="description" content="([^"]*)"', r'<link rel="canonical" href="([^"]+)"', r"(?s)<h1[^>]*>.*?</h1>"
+    tags = "<[^>]+>"
     part = lambda pattern: F.regexp_extract("html", pattern, 1)
-    title = F.trim(part(r"(?is)<title[^>]*>(.*?)</title>"))
-    described = F.trim(part(r"""(?is)<meta\s+name="description"\s+content="([^"]*)"""))
-    heads = F.regexp_count("html", F.lit(r"(?i)<h1[\s>]"))
-    body = F.trim(F.regexp_replace(F.regexp_replace(part(r"(?is)<body[^>]*>(.*)</body>"), r"(?s)<[^>]*>", " "), r"\s+", " "))
+    own = pages.select(
+        "page",
+        F.col("html").rlike(titles).alias("titled"), T.stripped(F.regexp_replace(part(titles), tags, "")).alias("title"),
+        F.col("html").rlike(descriptions).alias("has_description"), T.stripped(part(descriptions)).alias("description"),
+        F.col("html").rlike(canonical).alias("has_canonical"), F.regexp_count("html", F.lit(heads)).alias("heads"),
+        "is_text", F.col("html").rlike(body).alias("has_body"), F.length(T.stripped(F.regexp_replace(part(body), tags, " "))).alias("body"),
+    )
+    c = F.col
     checks = [
-        ("error", "no title", title == ""), ("warning", "long title", F.length(title) > 130), ("error", "no description", described == ""),
-        ("error", "no canonical link", part(r"""(?is)<link\s+rel="canonical"\s+href="([^"]*)""") == ""), ("error", "no h1", heads == 0), ("error", "several h1", heads > 1), ("warning", "short body", F.length(body) < 200),
+        ("error", "no title", ~c("titled")), ("error", "empty title", c("titled") & (c("title") == "")), ("warning", "long title", F.length("title") > LONG_TITLE),
+        ("error", "no description", ~c("has_description")), ("error", "empty description", c("has_description") & (c("description") == "")), ("error", "no canonical link", ~c("has_canonical")),
+        ("error", "no h1", c("heads") == 0), ("warning", "several h1", c("heads") > 1), ("error", "no body", c("is_text") & ~c("has_body")), ("error", "short body", c("is_text") & (c("body") < SHORT_BODY)),
     ]
-    return pages.select("page", F.explode(F.array(*[F.when(bad, F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"))) for level, rule, bad in checks])).alias("f")).where("f is not null").select("page", "f.*")
+    return own.select("page", F.explode(F.array(*[F.when(bad, F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"))) for level, rule, bad in checks])).alias("f")).where("f is not null").select("page", "f.*")
+
+
+def linked_data_findings(pages: DataFrame) -> DataFrame:
+    """(page, place, rule) of each JSON-LD block of a page (page, html) that isn't valid JSON or has no @context or no @type."""
+    blocks = F.regexp_extract_all("html", F.lit(r'(?s)<script type="application/ld\+json">(.*?)</script>'), F.lit(1))
+    own = pages.select("page", F.posexplode(blocks).alias("place", "block")).withColumn("v", F.try_parse_json("block"))
+    member = lambda name: F.expr(f"""array_contains(json_object_keys(block), '{name}')""")
+    rule = F.when(F.col("v").isNull(), "invalid").when(~F.coalesce(member("@context") & member("@type"), F.lit(False)), "no context or type")
+    return own.select("page", "place", rule.alias("rule")).where("rule is not null")
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -79,7 +103,43 @@ def links(pages: DataFrame) -> DataFrame:
     return own.select("page", "link", kind.alias("kind"), path.alias("path"))
 
 
+def resolved_path(folder: Column, path: Column) -> Column:
+    """Where a link's path leads from a folder: percent signs decoded, . and .. followed, a folder meaning its index.html; without a leading slash."""
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    whole = F.when(F.startswith(plain, F.lit("/")), plain).otherwise(F.concat_ws("/", folder, plain))
+    steps = F.filter(F.split(whole, "/", -1), lambda x: (x != "") & (x != "."))
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(x))))
+    shown = F.array_join(kept, "/")
+    return F.when(plain.endswith("/") | (shown == ""), F.when(shown == "", "index.html").otherwise(F.concat(shown, F.lit("/index.html")))).otherwise(shown)
+
+
 def dead(found: DataFrame, targets: DataFrame) -> DataFrame:
-    """Internal and pdf links whose path no target (path) has, a folder meaning its index.html."""
-    own = found.where("kind in ('internal', 'pdf')").withColumn("path", F.when(F.col("path").endswith("/"), F.concat("path", F.lit("index.html"))).otherwise(F.col("path")))
-    return own.join(targets.select("path").distinct(), "path", "left_anti")
+    """Internal and pdf links (page, folder, link, kind, path) that lead to no target (path): a warning for a pdf, else an error."""
+    own = found.where("kind in ('internal', 'pdf')").withColumn("path", resolved_path(F.col("folder"), F.col("path")))
+    level = F.when(F.col("kind") == "pdf", "warning").otherwise("error")
+    return own.join(targets.select("path").distinct(), "path", "left_anti").withColumn("level", level)
+
+
+def repeated(urls: DataFrame) -> DataFrame:
+    """(url, n) of urls (url) that come more than once: canonical links, or entries of a sitemap."""
+    return urls.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+#: Weights of the parts of a document's severity.
+SEVERITY = {"missing": 3, "bodiless": 2, "missing_titles": 2, "duplicates": 1, "empty_pages": 1}
+
+
+def severities(docs: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """severity() of the five parts of SEVERITY."""
+    return severity(docs, {name: (parts[name], w) for name, w in SEVERITY.items()})
+
+
+def worst(rated: DataFrame, most: int = 20) -> DataFrame:
+    """The most severe documents (doc, severity), in document order among equals."""
+    return rated.where("severity > 0").orderBy(F.desc("severity"), "doc").limit(most)
+
+
+def totals(rated: DataFrame, residues: DataFrame) -> DataFrame:
+    """One row: documents, those with an anomaly, those without, and all residues (doc, residues)."""
+    hit = F.col("severity") > 0
+    return rated.agg(F.count(F.lit(1)).alias("documents"), F.count_if(hit).alias("affected"), F.count_if(~hit).alias("sound")).crossJoin(residues.agg(F.coalesce(F.sum("residues"), F.lit(0)).alias("residues")))  # two single rows

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, quality
-from .registry import query, table
+from .registry import SQL, query, table
 
 _SERIES = """
 WITH n AS (SELECT l_orderkey AS doc, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity) AS place, l_linenumber AS n FROM lineitem),
@@ -135,15 +135,37 @@ def _site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "url", "html")
 
 
-@query(r"""
-WITH c AS (SELECT page_id AS page, trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)) AS title, len(regexp_extract_all(html, '(?i)<h1[\s>]')) AS heads, contains(lower(html), 'name="description"') AS described, contains(lower(html), 'rel="canonical"') AS canonical,
-  trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<body[^>]*>(.*)</body>', 1), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS body FROM pages)
+_BODY = "(?is)<body[^>]*>(.*)</body>"
+
+
+@query(rf"""
+WITH c AS (SELECT page_id AS page, page_id % 2 = 0 AS is_text, html,
+  trim(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '<[^>]+>', '', 'g')) AS title,
+  trim(regexp_extract(html, '<meta name="description" content="([^"]*)"', 1)) AS description,
+  len(regexp_extract_all(html, '(?s)<h1[^>]*>.*?</h1>')) AS heads,
+  length(regexp_replace(regexp_replace(regexp_extract(html, '{_BODY}', 1), '<[^>]+>', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS body FROM (SELECT page_id, {{html}} AS html FROM pages))
 SELECT page, level, rule FROM (
-  SELECT page, 'error' AS level, 'no title' AS rule FROM c WHERE title = '' UNION ALL SELECT page, 'warning', 'long title' FROM c WHERE length(title) > 130
-  UNION ALL SELECT page, 'error', 'no description' FROM c WHERE NOT described UNION ALL SELECT page, 'error', 'no canonical link' FROM c WHERE NOT canonical
-  UNION ALL SELECT page, 'error', 'no h1' FROM c WHERE heads = 0 UNION ALL SELECT page, 'error', 'several h1' FROM c WHERE heads > 1 UNION ALL SELECT page, 'warning', 'short body' FROM c WHERE length(body) < 200)""")
+  SELECT page, 'error' AS level, 'no title' AS rule FROM c WHERE NOT regexp_matches(html, '(?s)<title>.*?</title>')
+  UNION ALL SELECT page, 'error', 'empty title' FROM c WHERE title = '' AND regexp_matches(html, '(?s)<title>.*?</title>')
+  UNION ALL SELECT page, 'warning', 'long title' FROM c WHERE length(title) > 130
+  UNION ALL SELECT page, 'error', 'no description' FROM c WHERE NOT regexp_matches(html, '<meta name="description" content="[^"]*"')
+  UNION ALL SELECT page, 'error', 'empty description' FROM c WHERE description = '' AND regexp_matches(html, '<meta name="description" content="[^"]*"')
+  UNION ALL SELECT page, 'error', 'no canonical link' FROM c WHERE NOT regexp_matches(html, '<link rel="canonical" href="[^"]+"')
+  UNION ALL SELECT page, 'error', 'no h1' FROM c WHERE heads = 0 UNION ALL SELECT page, 'warning', 'several h1' FROM c WHERE heads > 1
+  UNION ALL SELECT page, 'error', 'no body' FROM c WHERE is_text AND NOT regexp_matches(html, '{_BODY}')
+  UNION ALL SELECT page, 'error', 'short body' FROM c WHERE is_text AND body < 200)""".replace("{html}", "CASE page_id % 7 WHEN 0 THEN replace(html, '<h1>', '<h1></h1><h1>') WHEN 1 THEN replace(replace(html, '<title>', '<title> <b></b> </title><title>'), '</head>', '<meta name=\"description\" content=\" \"></head>') WHEN 2 THEN replace(replace(html, '<body', '<frame'), '</head>', '<link rel=\"canonical\" href=\"/x\"></head>') WHEN 3 THEN replace(html, '<h1>', '<p>') WHEN 4 THEN substr(html, 1, 400) || '<body>' || substr(html, 1, 250) || '</body>' ELSE html END"))
 def html_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.page_findings(_site(spark, sf_dir))
+    """Pages, those of even keys as texts; some are made faulty: second or no headings, empty parts, no or a short body."""
+    k, html = F.col("page") % 7, F.col("html")
+    made = (
+        F.when(k == 0, F.replace(html, F.lit("<h1>"), F.lit("<h1></h1><h1>")))
+        .when(k == 1, F.replace(F.replace(html, F.lit("<title>"), F.lit("<title> <b></b> </title><title>")), F.lit("</head>"), F.lit('<meta name="description" content=" "></head>')))
+        .when(k == 2, F.replace(F.replace(html, F.lit("<body"), F.lit("<frame")), F.lit("</head>"), F.lit('<link rel="canonical" href="/x"></head>')))
+        .when(k == 3, F.replace(html, F.lit("<h1>"), F.lit("<p>")))
+        .when(k == 4, F.concat(F.substring(html, 1, 400), F.lit("<body>"), F.substring(html, 1, 250), F.lit("</body>")))
+        .otherwise(html)
+    )
+    return quality.page_findings(_site(spark, sf_dir).withColumn("html", made).withColumn("is_text", F.col("page") % 2 == 0), _BODY)
 
 
 _LINKS = r"""
@@ -157,12 +179,19 @@ def link_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_LINKS + r"""
-, t AS (SELECT DISTINCT regexp_replace(url, '^https?://[^/]*', '') AS path FROM pages)
-SELECT page, link, kind FROM (SELECT *, CASE WHEN path LIKE '%/' THEN path || 'index.html' ELSE path END AS p FROM k WHERE kind IN ('internal', 'pdf')) WHERE p NOT IN (SELECT path FROM t)""")
+, t AS (SELECT DISTINCT CASE WHEN p LIKE '%/' OR p = '' THEN p || 'index.html' ELSE p END AS path FROM (SELECT regexp_replace(regexp_replace(url, '^https?://[^/]*/?', ''), '[?#].*$', '') AS p FROM pages)),
+r AS (SELECT page, link, kind, CASE WHEN path LIKE '/%' THEN url_decode(replace(path, '+', '%2B')) ELSE 'a/b/' || url_decode(replace(path, '+', '%2B')) END AS p FROM (
+  SELECT page, link, kind, CASE page % 3 WHEN 0 THEN '.' || path WHEN 1 THEN '..' || path ELSE path END AS path FROM k WHERE kind IN ('internal', 'pdf'))),
+s AS (SELECT *, regexp_replace(regexp_replace(replace(replace(replace(p, 'a/b/../', 'a/'), 'a/b/./', 'a/b/'), '//', '/'), '^/', ''), '/$', '/index.html') AS path FROM r)
+SELECT page, link, kind, CASE kind WHEN 'pdf' THEN 'warning' ELSE 'error' END AS level FROM s WHERE path NOT IN (SELECT path FROM t)""")
 def dead_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages in folder a/b; a third with ./ and a third with ../ in front."""
     own = _site(spark, sf_dir)
-    targets = own.select(F.regexp_replace("url", "^https?://[^/]*", "").alias("path"))
-    return quality.dead(quality.links(own), targets).select("page", "link", "kind")
+    path = F.regexp_replace(F.regexp_replace("url", "^https?://[^/]*/?", ""), "[?#].*$", "")
+    targets = own.select(F.when(path.endswith("/") | (path == ""), F.concat(path, F.lit("index.html"))).otherwise(path).alias("path"))
+    dots = F.element_at(F.array(F.lit("."), F.lit(".."), F.lit("")), (F.col("page") % 3 + 1).cast("int"))
+    found = quality.links(own).withColumn("path", F.when(F.col("kind").isin("internal", "pdf"), F.concat(dots, "path")).otherwise(F.col("path")))
+    return quality.dead(found.withColumn("folder", F.lit("a/b")), targets).select("page", "link", "kind", "level")
 
 
 _CANON = "regexp_extract(url, '^([A-Za-z]+://[^/]*)', 1)"
@@ -183,3 +212,52 @@ def jsonld_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 10 == 0, F.expr("substr(props, 1, length(props) - 1)")).otherwise(F.col("props")).alias("props"))
     valid = F.expr("try_parse_json(props)").isNotNull()
     return own.select("event_id", F.coalesce(valid, F.lit(False)).alias("valid"), F.when(valid, F.get_json_object("props", "$.k")).alias("k"))
+
+
+@query(_SERIES + """,
+missing AS (SELECT doc, count(*) AS n FROM (SELECT doc, series, unnest(range(min(n), max(n) + 1)) AS n FROM s GROUP BY doc, series) r WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.doc = r.doc AND s.series = r.series AND s.n = r.n) GROUP BY doc),
+twice AS (SELECT doc, count(*) AS n FROM (SELECT DISTINCT doc, n FROM (SELECT doc, series, n FROM s GROUP BY ALL HAVING count(*) > 1)) GROUP BY doc),
+titles AS (SELECT doc, count(*) AS n FROM (SELECT doc, unnest(range(min(n), max(n) + 1)) AS n FROM s WHERE n <> 3 GROUP BY doc) r WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.doc = r.doc AND s.n = r.n AND s.n <> 3) GROUP BY doc),
+body AS (SELECT doc, count(*) AS n FROM s WHERE n = 7 GROUP BY doc), page AS (SELECT doc, count(*) AS n FROM s WHERE n = 6 GROUP BY doc),
+rated AS (SELECT o_orderkey AS doc, coalesce(missing.n, 0) AS missing, coalesce(body.n, 0) AS bodiless, coalesce(titles.n, 0) AS missing_titles, coalesce(twice.n, 0) AS duplicates, coalesce(page.n, 0) AS empty_pages
+  FROM orders LEFT JOIN missing ON missing.doc = o_orderkey LEFT JOIN body ON body.doc = o_orderkey LEFT JOIN titles ON titles.doc = o_orderkey LEFT JOIN twice ON twice.doc = o_orderkey LEFT JOIN page ON page.doc = o_orderkey),
+sev AS (SELECT *, CAST(3 * missing + 2 * bodiless + 2 * missing_titles + duplicates + empty_pages AS BIGINT) AS severity FROM rated)
+SELECT * FROM sev""")
+def coherence_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five parts of each order's severity: its line numbers as articles; those but 3 as titles, 7 as articles without a body, 6 as empty pages."""
+    return quality.severities(*_coherence(spark, sf_dir))
+
+
+def _coherence(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    own = _numbered(spark, sf_dir)
+    titles = own.where("n <> 3").select("doc", "n", F.lit(1).alias("series"))
+    parts = {"missing": quality.missing(own), "bodiless": own.where("n = 7"), "missing_titles": quality.missing(titles), "duplicates": quality.duplicates(own), "empty_pages": own.where("n = 6")}
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc")), parts
+
+
+@query(SQL["coherence_severity"].replace("SELECT * FROM sev", "SELECT doc, severity FROM sev WHERE severity > 0 ORDER BY severity DESC, doc LIMIT 20"))
+def coherence_worst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.worst(quality.severities(*_coherence(spark, sf_dir)).select("doc", "severity"))
+
+
+@query(SQL["coherence_severity"].replace("SELECT * FROM sev", "SELECT count(*) AS documents, count(*) FILTER (severity > 0) AS affected, count(*) FILTER (severity = 0) AS sound, (SELECT CAST(sum(l_linenumber) AS BIGINT) FROM lineitem) AS residues FROM sev"))
+def coherence_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    residues = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("residues"))
+    return quality.totals(quality.severities(*_coherence(spark, sf_dir)), residues)
+
+
+@query("""
+WITH b AS (SELECT o_orderkey AS page, unnest(CASE o_orderkey % 5 WHEN 0 THEN ['{"@context": "x", "@type": "y"}'] WHEN 1 THEN ['{"@context": "x"}', '{"@type": 1, "@context": null}'] WHEN 2 THEN ['{"@type": "y", ', '{}'] WHEN 3 THEN ['[1]'] ELSE [] END) AS block,
+  unnest(CASE o_orderkey % 5 WHEN 0 THEN [0] WHEN 1 THEN [0, 1] WHEN 2 THEN [0, 1] WHEN 3 THEN [0] ELSE [] END) AS place FROM orders)
+SELECT page, place, CASE WHEN NOT json_valid(block) THEN 'invalid' ELSE 'no context or type' END AS rule FROM b WHERE NOT json_valid(block) OR NOT coalesce(list_contains(json_keys(block), '@context') AND list_contains(json_keys(block), '@type'), false)""")
+def linked_data_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages made of orders, with blocks that are sound, lack members or are no JSON."""
+    some = [['{"@context": "x", "@type": "y"}'], ['{"@context": "x"}', '{"@type": 1, "@context": null}'], ['{"@type": "y", ', "{}"], ["[1]"], []]
+    html = F.element_at(F.array(*[F.lit("".join(f'<script type="application/ld+json">{b}</script>' for b in x)) for x in some]), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    return quality.linked_data_findings(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page"), html.alias("html")))
+
+
+@query("SELECT lower(url) AS url, count(*) AS n FROM (SELECT regexp_replace(url, '[0-9].*$', '') AS url FROM pages) GROUP BY ALL HAVING count(*) > 1")
+def repeated_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses cut at their first digit, as entries of a sitemap."""
+    return quality.repeated(_site(spark, sf_dir).select(F.lower(F.regexp_replace("url", "[0-9].*$", "")).alias("url")))

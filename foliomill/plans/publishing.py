@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import index, integrity, quality, search, structure
-from ..sources.store import stored
+from ..operators import integrity, quality, search, structure
 from . import audits, retrieval
 from .registry import query, table
 from .retrieval import _COVER, _INDEX, _SCORES, _TERMS
@@ -89,9 +88,8 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY
 SELECT query, doc, score, round(0.7::DOUBLE + 0.3::DOUBLE * score / top, 6) AS prior FROM best""")
 def answer_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six documents whose passages answer a question, and the prior that their rank gives those passages."""
-    docs, postings, stats = index.write(retrieval.indexed(spark, sf_dir).drop("type"))
-    terms = stored(search.expanded(search.query_terms(retrieval.asked(spark)), postings.select("term").distinct()), "terms")
-    best = search.top(search.ranked(search.scores(terms, docs, postings, stats), docs), 6)
+    found, docs = retrieval._scored(spark, sf_dir)
+    best = search.top(search.ranked(found, docs.drop("type")), 6)
     prior = 0.7 + 0.3 * F.col("score") / F.max("score").over(Window.partitionBy("query"))
     return best.select("query", "doc", "score", F.round(prior, 6).alias("prior"))
 

@@ -1,4 +1,4 @@
-"""Registry of queries and their SQL."""
+"""Registry of queries and their SQL; it imports no plan, `foliomill.plans.all` imports them all."""
 
 from __future__ import annotations
 
@@ -26,5 +26,3 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-from . import audits, catalogue, publishing, retrieval, structure, texts  # noqa: E402, F401

@@ -76,9 +76,21 @@ SELECT query, doc, score, CAST(rank AS INTEGER) AS rank FROM (
 _COVER = "raw * (0.35::DOUBLE + 0.65::DOUBLE * least(matched, useful) / useful)"
 
 
-def _scored(spark: SparkSession, sf_dir: str, own: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    docs, postings, stats = index.write(indexed(spark, sf_dir) if own is None else own)
-    terms = stored(search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct()), "terms")
+_WRITTEN: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame, DataFrame]] = {}
+
+
+def shared_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Indexed documents, postings, statistics and the terms asked for: written once in a session for each input, read by every search."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        docs, postings, stats = index.write(indexed(spark, sf_dir))
+        terms = stored(search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct()), "terms")
+        _WRITTEN[key] = (docs, postings, stats, terms)
+    return _WRITTEN[key]
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs, postings, stats, terms = shared_index(spark, sf_dir)
     return search.scores(terms, docs, postings, stats), docs
 
 
@@ -109,7 +121,7 @@ def bm25_repealed_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_INDEX + _TERMS + " SELECT query, CAST(place - 1 AS INTEGER) AS place, word, term FROM term")
 def prefix_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, postings, _ = index.write(indexed(spark, sf_dir))
+    postings = shared_index(spark, sf_dir)[1]
     return search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct())
 
 
@@ -135,15 +147,18 @@ def doc_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH t AS (SELECT DISTINCT lang, doc_id, unnest({tokens('text')}) AS term FROM documents),
+WITH t AS (SELECT DISTINCT lang, doc_id, unnest({tokens('text')}) AS term FROM documents WHERE lang IN ('en', 'fr')),
 df AS (SELECT lang, term, count(*) AS df FROM t GROUP BY ALL), n AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang)
 SELECT lang, term, df FROM df JOIN n USING (lang) WHERE length(term) <= 4 AND df > n * 0.75""")
 def high_df_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Terms that the index would drop if each language were a corpus of its own."""
-    docs = table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
-    n = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    df = docs.select("lang", F.explode(F.array_distinct(T.tokens(F.col("text")))).alias("term")).where(F.length("term") <= 4).groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-    return df.join(n, "lang").where(F.col("df") > F.col("n") * 0.75).select("lang", "term", "df")
+    """Terms that the index drops if English or French texts are a corpus of their own."""
+    found = []
+    for lang in ("en", "fr"):
+        docs = table(spark, sf_dir, "documents").where(F.col("lang") == lang).select(F.col("doc_id").alias("doc"), F.col("text").alias("body"))
+        tf = index.term_frequencies(index.field_tokens(docs, stop=[]))
+        lost = tf.join(index.pruned(tf, docs.agg(F.count(F.lit(1)).alias("n"))), ["term", "doc"], "left_anti")
+        found.append(lost.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(F.lit(lang).alias("lang"), "term", "df"))
+    return found[0].unionByName(found[1])
 
 
 @query(f"""

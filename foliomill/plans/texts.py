@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import cleaning, lexicon, structure
+from ..operators import cleaning, lexicon, proofreading, structure
 from ..operators.metadata import unique_slugs
 from .registry import query, table
 
@@ -87,29 +87,43 @@ def number_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", T.padded((F.col("o_orderkey") * 977).cast("string")).alias("padded"), T.thousands(F.round("o_totalprice")).alias("shown"))
 
 
-@query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '[0-9][0-9 .]*[0-9]'), lambda x: length(x) >= 7)))[1:8], '|') AS amounts FROM documents""")
+@query(rf"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '{proofreading.AMOUNT}'), lambda x: regexp_replace(x, '[{proofreading.BLANK}]+$', '')), lambda x: length(x) >= 7)))[1:8], '|') AS amounts FROM ({{spaced}})""".replace("{spaced}", "SELECT doc_id, regexp_replace(text, '([0-9]) ?[.,]? ?([0-9])', '\\1' || chr(160) || chr(10) || '\\2 ', 'g') AS text FROM documents"))
 def amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.filter(F.regexp_extract_all("text", F.lit("([0-9][0-9 .]*[0-9])"), F.lit(1)), lambda x: F.length(x) >= 7)
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.slice(F.array_sort(F.array_distinct(found)), 1, 8), "|").alias("amounts"))
+    """Texts whose digits are set apart by white space of several kinds."""
+    own = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "([0-9]) ?[.,]? ?([0-9])", "$1\u00a0\n$2 ").alias("text"))
+    return own.select("doc_id", F.array_join(proofreading.amounts(F.col("text")), "|").alias("amounts"))
 
 
-#: Label and pattern of what recognition is suspected to have misread; the oracle takes the same patterns.
-SUSPECT = {
-    "digit-letter-digit": "[0-9][a-zA-Z][0-9]",
-    "letter on a number": "[a-zA-Z][0-9]{3,}",
-    "lone punctuation": "[ \n\t][,;:][ \n\t]",
-    "number to verify": "[0-9]{1,3} [0-9]{3} [0-9]{3} [0-9]{3}",
-    "unexpected character": "[#*$&<>|{}@~^]",
-    "rn for m": "rnillion|rnontant|rnarché",
-}
-_SUSPECT = ", ".join(f"('{k}', '{p}')" for k, p in SUSPECT.items())
+#: The oracle's words are ASCII: other letters stand as underscores there, which are word characters and no letters of the patterns.
+_SUSPECT = r"""
+('digit-letter-digit', '[0-9][a-zA-Z][0-9]'), ('letter on a number', '[a-zA-Z][0-9]{3,}'), ('I, l or 1', '\b[Il1]{2,}\b'), ('O or 0', '\b0[a-zA-Z]|\b[a-zA-Z]0\b'), ('lone punctuation', '\s[,;:]\s'),
+('open quotation mark', '(?m)[«»"]\s*$'), ('number to verify', '\b[0-9]{1,3}\s[0-9]{3}\s[0-9]{3}\s[0-9]{3}\b'), ('unexpected character', '[^\s\w.,;:()\[\]«»’''\-–—/%°§"!?&+=…]'),
+('article misread', '(?i)\bartlcle|\barticie|\bartide'), ('rn for m', '(?i)\brnillion|\brnontant|\brnarché')"""
 
 
-@query(f"SELECT label, CAST(sum(len(regexp_extract_all(text, pattern))) AS BIGINT) AS n FROM documents, (VALUES {_SUSPECT}) p(label, pattern) GROUP BY label")
+@query(f"""
+WITH d AS (SELECT regexp_replace(text, '[À-ÖØ-öø-ɏ]', '_', 'g') AS plain, text FROM documents)
+SELECT label, CAST(sum(len(regexp_extract_all(CASE WHEN label IN ('open quotation mark', 'rn for m') THEN text ELSE plain END, pattern))) AS BIGINT) AS n FROM d, (VALUES {_SUSPECT}) p(label, pattern) GROUP BY label""")
 def suspect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    sums = docs.agg(*[F.sum(F.regexp_count("text", F.lit(p))).alias(k) for k, p in SUSPECT.items()])  # one scan for all patterns
-    return sums.select(F.explode(F.array(*[F.struct(F.lit(k).alias("label"), F.coalesce(F.col(f"`{k}`"), F.lit(0)).cast("long").alias("n")) for k in SUSPECT])).alias("x")).select("x.*")
+    return proofreading.counts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def suspect_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts need positions in texts: tested against a plain version."""
+    pages = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), "text")
+    return proofreading.contexts(pages)
+
+
+@query("SELECT user_id AS doc, event_id AS page FROM events WHERE value < 82.0")
+def pages_to_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "events").select(F.col("user_id").alias("doc"), F.col("event_id").alias("page"), F.col("value").alias("confidence"))
+    return proofreading.to_reread(own).select("doc", "page")
+
+
+@query("SELECT doc_id, length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) >= 120 AS native FROM documents")
+def text_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", proofreading.has_text_layer(F.col("text")).alias("native"))
 
 
 @query("SELECT word, count(*) AS n FROM (SELECT lower(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{2,}'))) AS word FROM documents) GROUP BY word")

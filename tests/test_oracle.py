@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from foliomill.plans.registry import QUERIES, SQL
+from foliomill.plans.all import QUERIES, SQL
 
 
 @pytest.fixture(scope="session")
