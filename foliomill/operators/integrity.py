@@ -60,3 +60,9 @@ def contents(heads: DataFrame, least: int = 3) -> DataFrame:
     own = heads.where(F.col("kind").isin("titre", "article"))
     enough = own.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("doc")
     return own.join(enough, "doc", "left_semi").select("doc", "place", "anchor")
+
+
+def key_differences(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """(key, only_in): keys of one table that the other lacks, such as those of postings and of a table of weights; none where both agree."""
+    one, two = a.select(key).distinct(), b.select(key).distinct()
+    return one.join(two, key, "left_anti").withColumn("only_in", F.lit("first")).unionByName(two.join(one, key, "left_anti").withColumn("only_in", F.lit("second")))

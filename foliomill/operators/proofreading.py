@@ -23,6 +23,7 @@ SUSPECTS = [
 BLANK = r"\s\p{Z}\x0B\x1C-\x1F"
 AMOUNT = rf"\p{{Nd}}[\p{{Nd}}{BLANK}]{{2,}}"
 LEAST_AMOUNT, MOST_AMOUNTS, MOST_ALERTS, AROUND, LOW_CONFIDENCE, LEAST_LAYER = 7, 8, 14, 45, 82.0, 120
+RETRY_BELOW, MARGIN_OF_TURNED, FINE_DPI = 78, 3, 400
 # End of the fixed values.
 
 
@@ -67,3 +68,15 @@ def to_reread(pages: DataFrame) -> DataFrame:
 
 def has_text_layer(text: Column) -> Column:
     return F.length(T.stripped(F.coalesce(text, F.lit("")))) >= LEAST_LAYER
+
+
+def accepted(pages: DataFrame) -> DataFrame:
+    """pages (confidence, dpi, turned: confidences of turned images in the order tried, finer: that of a finer image) with accepted and of_turned, of_finer.
+
+    Below RETRY_BELOW the first turned image that gains more than the margin is taken; if that is still low and the image coarse, the finer one if it is better.  A null wasn't tried."""
+    gains = F.get(F.filter("turned", lambda c: c > F.col("confidence") + MARGIN_OF_TURNED), F.lit(0))
+    turned = F.when(F.col("confidence") < RETRY_BELOW, gains)
+    now = F.coalesce("turned_to", "confidence")
+    finer = F.when((now < RETRY_BELOW) & (F.col("dpi") < FINE_DPI) & (F.col("finer") > now), F.col("finer"))
+    own = pages.withColumn("turned_to", turned).withColumn("finer_to", finer)
+    return own.select(*pages.columns, F.coalesce("finer_to", now).alias("accepted"), F.col("turned_to").isNotNull().alias("of_turned"), F.col("finer_to").isNotNull().alias("of_finer"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDATED = "Sans date"
 #: Priority of each class of page in the sitemap.
 PRIORITY = {"home": "1.0", "about": "0.5", "search": "0.7", "chronology": "0.5", "list": "0.8", "document": "0.9"}
+#: The most characters of a text that each place shows, and those where an ellipsis tells of more.
+SHOWN = {"description": 300, "card": 230, "index": 180, "contents": 110, "neighbour": 80, "tab": 80}
+WITH_ELLIPSIS = {"card"}
 
 
 def by_type(docs: DataFrame) -> DataFrame:
@@ -52,3 +55,39 @@ def structured_data(docs: DataFrame) -> DataFrame:
     force = F.when(F.col("repealed"), "NotInForce")
     body = F.struct(F.lit("https://schema.org").alias("@context"), F.lit("Legislation").alias("@type"), F.col("title").alias("name"), F.col("number").alias("legislationIdentifier"), date.alias("legislationDate"), force.alias("legislationLegalForce"))
     return docs.select("doc", F.to_json(body).alias("json"))
+
+
+def shown(text: Column, place: str) -> Column:
+    """As much of a text as a place shows."""
+    most = SHOWN[place]
+    start = F.substring(text, 1, most)
+    return F.when(F.length(text) > most, F.concat(start, F.lit("…"))).otherwise(start) if place in WITH_ELLIPSIS else start
+
+
+def citation(identifier: Column, title: Column, year: Column, authority: str) -> Column:
+    """How a document is cited; without a year, nothing stands in its place."""
+    dated = F.when(F.coalesce(year, F.lit("")) != "", F.concat(F.lit(" ("), year, F.lit(")"))).otherwise("")
+    return F.concat(identifier, F.lit(", "), title, dated, F.lit(f". {authority}."))
+
+
+def tab_title(identifier: Column, short: Column) -> Column:
+    """The identifier and the short title, once where they are equal."""
+    return F.when(identifier == short, identifier).otherwise(F.concat(identifier, F.lit(" — "), shown(short, "tab")))
+
+
+def counted(n: Column, singular: str, plural: str | None = None, none_is_plural: bool = False) -> Column:
+    """A number and its noun: the plural from two on, and for none where that is said."""
+    several = (n != 1) if none_is_plural else (n > 1)
+    return F.concat(n.cast("string"), F.lit(" "), F.when(several, plural or singular + "s").otherwise(singular))
+
+
+def findings(rows: DataFrame, caps: dict[str, int]) -> DataFrame:
+    """(level, place, text): the first findings (level, place, text) of each level by place, and a last line, without a place, that counts those left out.
+
+    Ranks end at the largest cap, which Spark applies before it shuffles; all are counted by partial sums."""
+    cap = F.element_at(F.create_map(*[F.lit(x) for kv in caps.items() for x in kv]), F.col("level"))
+    known = rows.where(F.col("level").isin(*caps))
+    rank = F.row_number().over(Window.partitionBy("level").orderBy("place", "text"))
+    listed = known.withColumn("r", rank).where(F.col("r") <= max(caps.values())).where(F.col("r") <= cap).select("level", "place", "text")
+    left = known.groupBy("level").agg(F.count(F.lit(1)).alias("n")).withColumn("more", F.col("n") - cap).where("more > 0")
+    return listed.unionByName(left.select("level", F.lit(None).cast(known.schema["place"].dataType).alias("place"), F.concat(F.lit("… and "), F.col("more").cast("string"), F.lit(" more")).alias("text")))

@@ -211,6 +211,25 @@ def passage_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _passages(spark, sf_dir)
 
 
+_QUESTIONS = [(1, "that the"), (2, " Attion to "), (3, "station"), (4, "the that mention")]
+
+
+@query(_SEGMENTS.replace(_ASKED, ", ".join(f"({q}, '{x}')" for q, x in _QUESTIONS)) + """,
+headed AS (
+  SELECT query, doc_id, i, count(*) AS found,
+    sum(2.5::DOUBLE * tf * 2.4::DOUBLE / (tf + 1.4::DOUBLE * (0.6::DOUBLE + 0.4::DOUBLE * len(t) / 120)) * CASE WHEN contains(lower(strip_accents(substr(line, 1, 20))), word) THEN 1.9::DOUBLE ELSE 1.0::DOUBLE END) AS raw
+  FROM tf JOIN seg USING (doc_id, i) GROUP BY ALL)
+SELECT query, doc_id, CAST(i - 1 AS INTEGER) AS segment,
+  round(raw * pow(0.3::DOUBLE + 0.7::DOUBLE * found / k, 1.4) * CASE WHEN k >= 2 AND contains(norm, lower(trim(text))) THEN 1.4::DOUBLE ELSE 1.0::DOUBLE END * CASE WHEN i % 3 = 1 THEN 1.12::DOUBLE ELSE 1.0::DOUBLE END, 6) AS score,
+  round(found / k, 6) AS coverage
+FROM headed JOIN words USING (query) JOIN asked USING (query) JOIN seg USING (doc_id, i)""")
+def passage_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as passages; their first 20 characters as headings, every third as an article."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("segment", "text"))
+    own = lines.select("*", F.substring("text", 1, 20).alias("head"), (F.col("segment") % 3 == 0).alias("article"))
+    return passages.scored(own, spark.createDataFrame(_QUESTIONS, "query int, text string"), keys=["doc_id", "segment"], factors=True)
+
+
 _DIVERSE = """,
 two AS (SELECT *, row_number() OVER (PARTITION BY query, doc_id ORDER BY score DESC, segment) AS r FROM passage),
 three AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id, segment) AS rank FROM two WHERE r <= 2)"""
