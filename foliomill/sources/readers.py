@@ -13,6 +13,7 @@ MANIFEST = "id string, titre string, date string, resume string, categorie strin
 CONTRIBUTION = "struct<titre:string,type:string,date:string,resume:string,source:string,fichier_origine:string,slug:string,abroge:boolean,tags:array<string>>"
 RULE = "struct<page:int,avant:string,apres:string,remplacer_page:string>"
 STATUS = "struct<par:string,par_slug:string>"
+INDEX = "docs array<array<string>>, termes map<string,array<array<int>>>, longueurMoyenne int"
 WORDS = "level int, page int, block int, par int, line int, word int, left int, top int, width int, height int, conf string, text string"
 
 
@@ -103,6 +104,27 @@ def sitemap(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit("(?s)<loc>(.*?)</loc>"), F.lit(1))).alias("url"))
 
 
+def search_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents, postings and one row of statistics of a search index in JSON, as ``operators.index`` has them; a malformed file is an error.
+
+    Documents are (doc, slug, title, type, year, repealed, number, abstract, length), doc their place in the file.  The
+    file is one object and so one row; what is to grow is kept by ``index.save``."""
+    own = spark.read.schema(INDEX).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    at = lambda i: F.get("d", F.lit(i))
+    docs = own.select(F.posexplode("docs").alias("doc", "d")).select(
+        "doc", at(0).alias("slug"), at(1).alias("title"), at(2).alias("type"), at(3).alias("year"), (at(4) == "1").alias("repealed"), at(5).alias("number"), at(6).alias("abstract"),
+        F.coalesce(at(7).try_cast("long"), F.lit(0)).alias("length"),
+    )
+    postings = own.select(F.explode("termes").alias("term", "list")).select("term", F.explode("list").alias("p")).select("term", F.get("p", F.lit(0)).alias("doc"), F.get("p", F.lit(1)).alias("tf"))
+    stats = own.select(F.size("docs").cast("long").alias("n"), F.col("longueurMoyenne").cast("double").alias("average"))
+    return docs, postings, stats
+
+
+def texts(docs: DataFrame, wanted: DataFrame, key: str = "doc") -> DataFrame:
+    """The rows of docs whose key is in wanted, each once however often it is asked for; null keys match none."""
+    return docs.join(wanted.select(key), key, "left_semi")
+
+
 def valid_pdfs(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length) of files that are not empty and begin as a PDF does."""
     own = spark.read.format("binaryFile").load(folder)

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from foliomill.operators import cleaning, corrections
+from foliomill.operators import cleaning, corrections, index, search
 from foliomill.sources import readers
 from foliomill.streaming.ingest import gained
 
@@ -62,6 +62,37 @@ def test_site_sitemap_and_pdfs(spark, tmp_path):
     assert readers.valid_pdfs(spark, str(tmp_path / "p")).count() == 1
 
 
+def test_search_index_in_json(spark, tmp_path):
+    one = {"docs": [["s-1", "Un", "loi", "2021", 0, "5", "abrégé", 12], ["s-2", "Deux", "rapport", None, 1, "", "", 0]], "termes": {"agrément": [[0, 255], [1, 3]], "taux": [[1, 1]]}, "longueurMoyenne": 6}
+    docs, postings, stats = readers.search_index(spark, put(tmp_path / "i.json", one))
+    assert [tuple(r) for r in docs.orderBy("doc").collect()] == [(0, "s-1", "Un", "loi", "2021", False, "5", "abrégé", 12), (1, "s-2", "Deux", "rapport", None, True, "", "", 0)]
+    assert {tuple(r) for r in postings.collect()} == {("agrément", 0, 255), ("agrément", 1, 3), ("taux", 1, 1)}
+    assert tuple(stats.first()) == (2, 6.0)
+    words = search.query_terms(spark.createDataFrame([(1, "taux")], "query int, text string"))
+    assert [r["doc"] for r in search.scores(search.expanded(words, postings.select("term").distinct()), docs, postings, stats).collect()] == [1]
+    empty = readers.search_index(spark, put(tmp_path / "e.json", {"docs": [], "termes": {}, "longueurMoyenne": 1}))
+    assert [t.count() for t in empty] == [0, 0, 1]
+
+
+def test_index_is_saved_and_loaded(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "loi", False, "taux taux agrément"), (2, "loi", False, "sociétés"), (3, "loi", True, "")], "doc int, type string, repealed boolean, body string")
+    built = index.build(docs)
+    index.save(*built, str(tmp_path / "i"))
+    index.save(*built, str(tmp_path / "i"))  # a second time replaces the first
+    for before, after in zip(built, index.load(spark, str(tmp_path / "i")), strict=True):
+        assert after.columns == before.columns and sorted(map(tuple, after.collect())) == sorted(map(tuple, before.collect()))
+
+
+def test_texts_by_key_and_written_documents(spark, tmp_path):
+    docs = spark.createDataFrame([("a_1", 1, "x"), ("b 2", 2, None), (None, 3, "z")], "ident string, pages int, text string")
+    wanted = spark.createDataFrame([("b 2",), ("b 2",), (None,), ("none",)], "ident string")
+    assert [tuple(r) for r in readers.texts(docs, wanted, "ident").collect()] == [("b 2", 2, None)]
+    folder = str(tmp_path / "out")
+    readers.write_documents(docs.where("ident is not null"), folder)
+    back = spark.read.schema("pages int, text string, ident string").json(folder)
+    assert {(r["ident"], r["pages"], r["text"]) for r in back.collect()} == {("a_1", 1, "x"), ("b 2", 2, None)}
+
+
 def test_stream_reads_new_files_once(spark, tmp_path):
     src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
     first = spark.range(5).withColumn("x", F.lit("a"))
