@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm
+from . import audit, chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm
 from .common import held_out, stored, table
 
 
@@ -133,5 +133,35 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score}
-SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL, "op7_quality_rules": OP7_SQL}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH lab AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+own AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         map {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 3 * length(text),
+              'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc.doc_id > min(doc.doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM doc LEFT JOIN lab ON lab.doc_id = doc.doc_id),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+step AS (
+  SELECT part, filter_order, k AS step, good, toxic, f[filter_order[k]] AS here,
+         len(list_filter(range(1, k), lambda i: f[filter_order[i]])) > 0 AS before, len(list_filter(map_values(f), lambda v: v)) = 1 AS alone
+  FROM own, orders, (SELECT unnest(range(1, 6)) AS k)),
+sums AS (
+  SELECT part, filter_order, step, count(*) FILTER (NOT here AND NOT before) AS kept, count(*) FILTER (here AND NOT before) AS removed, count(*) FILTER (here AND before) AS redundant,
+         count(*) FILTER (here AND alone) AS unique_fails, count(*) FILTER (here AND NOT before AND good) AS good_lost, count(*) FILTER (here AND NOT before AND toxic) AS toxic_lost
+  FROM step GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM sums
+"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score, "op12_filter_audit": op12_filter_audit}
+SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL, "op7_quality_rules": OP7_SQL, "op12_filter_audit": OP12_SQL}
