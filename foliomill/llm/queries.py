@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm
+from . import audit, chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm, trie
 from .common import held_out, stored, table
 
 
@@ -133,6 +133,40 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: The checksum of the reduction is CRC-32, bit by bit, for which DuckDB has no function.
+OP11_SQL = r"""
+WITH turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(u)) AS k, u, size FROM (
+  SELECT conv_id, turn, coalesce(role, '') AS role, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS u, length(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT conv_id, list(sha256(u) ORDER BY k) AS us, list(size ORDER BY k) AS sizes FROM turns GROUP BY conv_id),
+step AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+    lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT) % 6 AS h
+  FROM own),
+built AS (
+  SELECT a.conv_id, list_concat(coalesce(b.us, [])[1:a.h], a.us[a.h + 1:]) AS us, list_concat(coalesce(b.sizes, [])[1:a.h], a.sizes[a.h + 1:]) AS sizes
+  FROM step a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+pre AS (
+  SELECT conv_id, d, len(us) = d AS ends, sha256(array_to_string(us[1:d], '')) AS pk, CASE WHEN d > 0 THEN sha256(array_to_string(us[1:d - 1], '')) END AS up,
+         CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, list_transform(range(0, d + 1), lambda i: sha256(array_to_string(us[1:i], ''))) AS above
+  FROM (SELECT *, unnest(range(0, len(us) + 1)) AS d FROM built)),
+node AS (
+  SELECT pk, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(up) AS up, any_value(above) AS above, count(*) AS n, any_value(size) AS size,
+         sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM pre GROUP BY pk),
+child AS (SELECT up AS pk, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+below AS (
+  SELECT a AS pk, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved
+  FROM (SELECT unnest(above) AS a, child.pk IS NULL AS leaf, (node.n - 1) * size AS saved FROM node LEFT JOIN child ON child.pk = node.pk) GROUP BY a)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(child.n, 0) AS n_children, n_leaves, saved AS saved_tokens, node.ends_sha256
+FROM node JOIN below ON below.pk = node.pk LEFT JOIN child ON child.pk = node.pk LEFT JOIN node p ON p.pk = node.up
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
@@ -163,5 +197,5 @@ FROM sums
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score, "op12_filter_audit": op12_filter_audit}
-SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL, "op7_quality_rules": OP7_SQL, "op12_filter_audit": OP12_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score, "op11_prefix_trie": op11_prefix_trie, "op12_filter_audit": op12_filter_audit}
+SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL, "op7_quality_rules": OP7_SQL, "op11_prefix_trie": OP11_SQL, "op12_filter_audit": OP12_SQL}
