@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm, trie
+from . import audit, chat, decontam, langid, lmscore, quality, rules, secrets, sharding, simhash, spm, substrings, trie
 from .common import held_out, stored, table
 
 
@@ -197,5 +197,23 @@ FROM sums
 """
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score, "op11_prefix_trie": op11_prefix_trie, "op12_filter_audit": op12_filter_audit}
-SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL, "op7_quality_rules": OP7_SQL, "op11_prefix_trie": OP11_SQL, "op12_filter_audit": OP12_SQL}
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT k, i, hash(array_to_string(w[i:i + 34], ' ')) AS g, md5(array_to_string(w[i:i + 34], ' ')) AS m FROM (SELECT k, w, unnest(range(1, len(w) - 33)) AS i FROM doc)),
+twice AS (SELECT k, i FROM win JOIN (SELECT g, m FROM win GROUP BY g, m HAVING count(*) > 1) USING (g, m)),
+gone AS (SELECT DISTINCT k, unnest(range(i, i + 35)) AS p FROM twice),
+own AS (SELECT k, list(p) AS ps FROM gone GROUP BY k),
+word AS (SELECT k, p, w[p] AS x FROM (SELECT k, w, unnest(range(1, len(w) + 1)) AS p FROM doc) ANTI JOIN gone USING (k, p)),
+kept AS (SELECT k, string_agg(x, ' ' ORDER BY p) AS t FROM word GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN own USING (k) LEFT JOIN kept USING (k)
+"""
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_secrets": op2_secrets, "op3_simhash": op3_simhash, "op4_decontamination": op4_decontamination, "op5_sentencepiece": op5_sentencepiece, "op6_quality": op6_quality, "op7_quality_rules": op7_quality_rules, "op8_language": op8_language, "op9_sharding": op9_sharding, "op10_lm_score": op10_lm_score, "op11_prefix_trie": op11_prefix_trie, "op12_filter_audit": op12_filter_audit, "op13_substring_dedup": op13_substring_dedup}
+SQL: dict[str, str] = {"op1_chat": OP1_SQL, "op4_decontamination": OP4_SQL, "op7_quality_rules": OP7_SQL, "op11_prefix_trie": OP11_SQL, "op12_filter_audit": OP12_SQL, "op13_substring_dedup": OP13_SQL}
