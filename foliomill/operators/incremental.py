@@ -10,7 +10,8 @@ from ..functions import text as T
 #: Categories that are taken, and first words of file names that are types themselves; all other words mean OTHER.
 CATEGORIES = ("Instruction", "Circulaire", "Decision", "Rapport")
 TYPE_WORDS, OTHER = ("decision", "instruction", "circulaire"), "autre"
-DEPOSITED = "apport_"
+#: How ids of deposited files begin, and the most characters of a name that follow.
+DEPOSITED, NAME = "apport_", 80
 
 
 def unseen(items: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -44,7 +45,7 @@ def deposited(files: DataFrame) -> DataFrame:
     title = T.collapsed(F.replace(F.regexp_replace("name", r"(?<=.)\.[^.]*$", ""), F.lit("_"), F.lit(" ")))
     first = T.slug(F.substring_index("title", " ", 1))
     own = files.withColumn("title", title)
-    return own.withColumn("doc", F.concat(F.lit(DEPOSITED), T.slug(F.col("title")))).withColumn("type", F.when(first.isin(*TYPE_WORDS), first).otherwise(OTHER))
+    return own.withColumn("doc", F.concat(F.lit(DEPOSITED), T.slug(F.col("title"), NAME))).withColumn("type", F.when(first.isin(*TYPE_WORDS), first).otherwise(OTHER))
 
 
 def file_order(ident: Column) -> Column:

@@ -9,10 +9,15 @@ from ..functions import text as T
 
 
 def unmatched_urls(urls: DataFrame, files: DataFrame) -> DataFrame:
-    """urls (url) whose path no file (path) has, as it is or without its first segment; a folder means its index.html."""
-    path = F.regexp_replace("url", "^[A-Za-z]+://[^/]*/?", "")
-    full = F.when((path == "") | path.endswith("/"), F.concat(path, F.lit("index.html"))).otherwise(path)
-    variants = urls.distinct().select("url", F.explode(F.array_distinct(F.array(full, F.regexp_replace(full, "^[^/]*/", "")))).alias("path"))
+    """urls (url) whose path no file (path) has, as it is or without its first segment, and no index.html of such a folder.
+
+    Percent signs are decoded; a last slash, a query and a fragment don't matter."""
+    path = F.regexp_replace(F.regexp_replace("url", "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""), "[?#].*$", "")
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    own = urls.distinct().select("url", F.regexp_replace(F.regexp_replace(plain, "/+", "/"), "^/|/$", "").alias("p"))
+    inner = F.when(F.contains("p", F.lit("/")), F.regexp_replace("p", "^[^/]*/", "")).otherwise("")
+    places = F.flatten(F.transform(F.array("p", inner), lambda v: F.when(v == "", F.array(F.lit("index.html"))).otherwise(F.array(v, F.concat(v, F.lit("/index.html"))))))
+    variants = own.select("url", F.explode(F.array_distinct(places)).alias("path"))
     return urls.distinct().join(variants.join(files.select("path").distinct(), "path", "left_semi").select("url"), "url", "left_anti")
 
 
@@ -39,10 +44,12 @@ def listed(numbers: Column, most: int = 8) -> Column:
 
 
 def amending(refs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(source, target): other documents (target, title) whose title names the article of a reference (source, article).
+    """(source, target): other documents (target, title) whose title holds "article " and the article of a reference (source, article: "premier", or up to three digits).
 
-    Titles give up the articles they name, so this is an equality join."""
-    named = docs.select("target", F.explode(F.array_distinct(F.regexp_extract_all(T.normalised(F.col("title")), F.lit(r"article (\d+)"), F.lit(1)))).alias("article"))
+    Titles give up the articles they hold, 3 with 37, so containment is an equality join."""
+    found = F.regexp_extract_all(T.normalised(F.col("title")), F.lit(r"article (premier|\d{1,3})"), F.lit(1))
+    starts = lambda x: F.when(x == "premier", F.array(x)).otherwise(F.transform(F.sequence(F.lit(1), F.length(x)), lambda n: F.substring(x, F.lit(1), n)))
+    named = docs.select("target", F.explode(F.array_distinct(F.flatten(F.transform(found, starts)))).alias("article"))
     return refs.join(named, "article").where("source <> target").select("source", "target").distinct()
 
 

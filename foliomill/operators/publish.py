@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-UNDATED = "Sans date"
+UNDATED, SCHEMA = "Sans date", "https://schema.org"
 #: Priority of each class of page in the sitemap.
 PRIORITY = {"home": "1.0", "about": "0.5", "search": "0.7", "chronology": "0.5", "list": "0.8", "document": "0.9"}
 #: The most characters of a text that each place shows, and those where an ellipsis tells of more.
@@ -49,12 +49,43 @@ def plain_page(docs: DataFrame) -> DataFrame:
     return docs.select("doc", F.concat("title", F.lit("\n"), rule, F.lit("\n\n"), "text", F.lit("\n")).alias("page"))
 
 
-def structured_data(docs: DataFrame) -> DataFrame:
-    """(doc, json): schema.org Legislation of each document; the date only if its year is the reference's."""
-    date = F.when(F.substring("date", 1, 4) == F.col("year"), F.col("date"))
-    force = F.when(F.col("repealed"), "NotInForce")
-    body = F.struct(F.lit("https://schema.org").alias("@context"), F.lit("Legislation").alias("@type"), F.col("title").alias("name"), F.col("number").alias("legislationIdentifier"), date.alias("legislationDate"), force.alias("legislationLegalForce"))
-    return docs.select("doc", F.to_json(body).alias("json"))
+def identifier(kind: Column, label: Column, number: Column, short: Column) -> Column:
+    """What a document is called by: its kind's label and its number, else its short title; base texts by their short title."""
+    named = F.trim(F.concat_ws(" ", F.nullif(label, F.lit("")), F.nullif(number, F.lit(""))))
+    return F.when((kind == "base") | (named == ""), short).otherwise(named)
+
+
+def _thing(kind: str, **members: Column | str | None) -> Column:
+    """An object of linked data: its type, then its members; null ones are left out when it becomes JSON."""
+    return F.struct(*_members(kind, **members))
+
+
+def _members(kind: str, **members: Column | str | None) -> list[Column]:
+    return [F.lit(kind).alias("@type"), *[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in members.items()]]
+
+
+def structured_data(docs: DataFrame, base: str, jurisdiction: str, publisher: str, language: str = "fr") -> DataFrame:
+    """(doc, json): schema.org Legislation of each document (doc, slug, type, label, number, title, short, year, date, summary, repealed, pdf).
+
+    The date is that of publication; it is the act's date too only if its year is that of the act.  An empty date or summary isn't stated."""
+    date = F.nullif(F.coalesce("date", F.lit("")), F.lit(""))
+    url = F.concat(F.lit(base.rstrip("/") + "/textes/"), "slug", F.lit("/"))
+    body = _members(
+        "Legislation", name=F.col("title"), legislationIdentifier=identifier(F.col("type"), F.col("label"), F.col("number"), F.col("short")), legislationType=F.col("label"), legislationJurisdiction=jurisdiction,
+        legislationLegalForce=F.when(F.coalesce("repealed", F.lit(False)), "NotInForce").otherwise("InForce"), inLanguage=language, url=url, publisher=_thing("GovernmentOrganization", name=publisher),
+        isBasedOn=_thing("DigitalDocument", name=F.col("title"), url=F.col("pdf"), encodingFormat="application/pdf"),
+        datePublished=date, legislationDate=F.when((F.col("year") != "") & (F.substring(date, 1, 4) == F.col("year")), date), abstract=F.nullif(F.coalesce("summary", F.lit("")), F.lit("")),
+    )
+    return docs.select("doc", F.to_json(F.struct(F.lit(SCHEMA).alias("@context"), *body)).alias("json"))
+
+
+def breadcrumbs(docs: DataFrame, base: str, home: str = "Accueil") -> DataFrame:
+    """(doc, json): schema.org BreadcrumbList of each document (doc, type, label, number, short, plural, folder): home, its kind's list, itself."""
+    root = base.rstrip("/") + "/"
+    step = lambda n, name, item: _thing("ListItem", position=F.lit(n), name=name, item=item)
+    own = identifier(F.col("type"), F.col("label"), F.col("number"), F.col("short"))
+    steps = F.array(step(1, F.lit(home), F.lit(root)), step(2, F.col("plural"), F.concat(F.lit(root), "folder", F.lit("/"))), step(3, own, F.lit(None).cast("string")))
+    return docs.select("doc", F.to_json(F.struct(F.lit(SCHEMA).alias("@context"), F.lit("BreadcrumbList").alias("@type"), steps.alias("itemListElement"))).alias("json"))
 
 
 def shown(text: Column, place: str) -> Column:

@@ -26,6 +26,12 @@ def missing(numbered: DataFrame) -> DataFrame:
     return got.select("doc", "series", F.explode(F.array_except(F.sequence("a", "b"), "seen")).alias("n"))
 
 
+def missing_titles(titles: DataFrame, most: int = 20) -> DataFrame:
+    """(doc, n): numbers from 1 to the greatest of a document's titles (doc, n) that it lacks; greater numbers than ``most`` are misread, and a single title makes no sequence."""
+    got = titles.where(F.col("n").between(1, most)).groupBy("doc").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("b"), F.collect_set("n").alias("seen"))
+    return got.where("k >= 2").select("doc", F.explode(F.array_except(F.sequence(F.lit(1).cast(titles.schema["n"].dataType), "b"), "seen")).alias("n"))
+
+
 def bodiless(blocks: DataFrame) -> DataFrame:
     """Articles (doc, place) that a heading or nothing follows; blocks: doc, place, kind."""
     after = F.lead("kind").over(Window.partitionBy("doc").orderBy("place"))

@@ -168,13 +168,37 @@ def plain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.plain_page(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc"), F.col("p_name").alias("title"), F.col("p_type").alias("text")))
 
 
-@query(_CATALOGUE + """ SELECT doc, title AS name, CASE WHEN doc % 2 = 0 AND year <> '' THEN year || '-01-01' END AS legislation_date, CASE WHEN repealed THEN 'NotInForce' END AS force FROM d""")
+_SHORT = "CASE WHEN type = 'base' OR label || number = '' THEN 'court ' || doc ELSE trim(label || ' ' || number) END"
+_LABELLED = """, l AS (SELECT * REPLACE (CASE WHEN doc % 13 = 0 THEN '' ELSE number END AS number), CASE WHEN doc % 3 = 0 THEN '' ELSE 'Instruction' END AS label FROM d)"""
+
+
+def _acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue with labels, short titles, dates (of the act's year for even keys, none for each seventh) and addresses."""
+    k = F.col("doc")
+    date = F.when(k % 7 == 0, "").when(k % 2 == 0, F.concat("year", F.lit("-01-01"))).otherwise("1900-01-01")
+    return _catalogue(spark, sf_dir).withColumns({
+        "number": F.when(k % 13 == 0, "").otherwise(F.col("number")), "label": F.when(k % 3 == 0, "").otherwise("Instruction"), "short": F.concat(F.lit("court "), k.cast("string")), "date": date,
+        "summary": F.when(k % 5 == 0, "").otherwise(F.col("title")), "slug": F.concat(F.lit("s"), k.cast("string")), "pdf": F.concat(F.lit("https://example.org/"), k.cast("string"), F.lit(".pdf")),
+        "plural": F.lit("Instructions"), "folder": F.concat(F.lit("f"), "rank"),
+    })
+
+
+@query(_CATALOGUE + _LABELLED + f"""
+SELECT doc, title AS name, {_SHORT} AS identifier, CASE WHEN doc % 7 <> 0 AND doc % 2 = 0 AND year <> '' THEN year || '-01-01' END AS legislation_date,
+  CASE WHEN doc % 7 <> 0 THEN CASE WHEN doc % 2 = 0 THEN year || '-01-01' ELSE '1900-01-01' END END AS published, CASE WHEN repealed THEN 'NotInForce' ELSE 'InForce' END AS force,
+  'https://example.org/textes/s' || doc || '/' AS url, 'https://example.org/' || doc || '.pdf' AS based_on, CASE WHEN doc % 5 <> 0 THEN title END AS abstract FROM l""")
 def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read back from the JSON: the date is there only if its year is the reference's."""
-    date = F.when(F.col("doc") % 2 == 0, F.concat("year", F.lit("-01-01"))).otherwise("1900-01-01")
-    made = publish.structured_data(_catalogue(spark, sf_dir).withColumn("date", date).withColumn("year", F.when(F.col("year") == "", "none").otherwise(F.col("year"))))
-    get = lambda path: F.get_json_object("json", path)
-    return made.select("doc", get("$.name").alias("name"), get("$.legislationDate").alias("legislation_date"), get("$.legislationLegalForce").alias("force"))
+    """Read back from the JSON: the act's date is there only if its year is the act's."""
+    made = publish.structured_data(_acts(spark, sf_dir), "https://example.org/", "Union", "Autorité")
+    paths = {"name": "name", "identifier": "legislationIdentifier", "legislation_date": "legislationDate", "published": "datePublished", "force": "legislationLegalForce", "url": "url", "based_on": "isBasedOn.url", "abstract": "abstract"}
+    return made.select("doc", *[F.get_json_object("json", f"$.{path}").alias(name) for name, path in paths.items()])
+
+
+@query(_CATALOGUE + _LABELLED + f"""
+SELECT doc, '{{"@context":"https://schema.org","@type":"BreadcrumbList","itemListElement":[{{"@type":"ListItem","position":1,"name":"Accueil","item":"https://example.org/"}},{{"@type":"ListItem","position":2,"name":"Instructions","item":"https://example.org/f'
+  || rank || '/"}},{{"@type":"ListItem","position":3,"name":"' || {_SHORT} || '"}}]}}' AS json FROM l""")
+def breadcrumb_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.breadcrumbs(_acts(spark, sf_dir), "https://example.org")
 
 
 @query("SELECT c_custkey AS doc, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 50 AS VARCHAR) || '-' || (1990 + c_custkey % 30) WHEN c_custkey % 3 = 1 THEN 'cm-' || (1990 + c_custkey % 30) ELSE 'x-' || (1990 + c_custkey % 30) END AS slug FROM customer")

@@ -12,15 +12,22 @@ from .retrieval import _COVER, _INDEX, _SCORES, _TERMS
 from .structure import _BLOCKS, _blocks
 
 
-@query("""
-WITH u AS (SELECT DISTINCT url, regexp_replace(url, '^[A-Za-z]+://[^/]*/?', '') AS p FROM pages),
-f AS (SELECT url, CASE WHEN p = '' OR p LIKE '%/' THEN p || 'index.html' ELSE p END AS p FROM u),
-own AS (SELECT DISTINCT regexp_replace(url, '^[A-Za-z]+://[^/]*/?', '') AS path FROM pages WHERE page_id % 3 = 0)
-SELECT url FROM f WHERE p NOT IN (SELECT path FROM own) AND regexp_replace(p, '^[^/]*/', '') NOT IN (SELECT path FROM own)""")
+_PATH = "regexp_replace(regexp_replace(url, '^[A-Za-z]+://[^/?#]*', ''), '[?#].*$', '')"
+
+
+@query(f"""
+WITH u AS (SELECT DISTINCT CASE page_id % 4 WHEN 1 THEN url || '/' WHEN 2 THEN url || '?x=1#y' WHEN 3 THEN replace(url, 'e', '%65') ELSE url END AS url FROM pages),
+c AS (SELECT url, trim(url_decode(replace({_PATH}, '+', '%2B')), '/') AS p FROM u),
+v AS (SELECT url, unnest([p, CASE WHEN contains(p, '/') THEN substr(p, strpos(p, '/') + 1) ELSE '' END]) AS v FROM c),
+own AS (SELECT CASE WHEN page_id % 2 = 0 THEN p || '/index.html' ELSE p END AS path FROM (SELECT page_id, trim({_PATH}, '/') AS p FROM pages WHERE page_id % 3 = 0)),
+met AS (SELECT url FROM v WHERE v <> '' AND (v IN (SELECT path FROM own) OR v || '/index.html' IN (SELECT path FROM own)))
+SELECT url FROM u WHERE url NOT IN (SELECT url FROM met)""")
 def sitemap_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as a sitemap, those with a key divisible by three as the files there are."""
-    own = table(spark, sf_dir, "pages")
-    return integrity.unmatched_urls(own.select("url"), own.where("page_id % 3 = 0").select(F.regexp_replace("url", "^[A-Za-z]+://[^/]*/?", "").alias("path")))
+    """Pages as a sitemap, with last slashes, queries and percent signs; those with a key divisible by three as the files there are, half of them as folders."""
+    own, k = table(spark, sf_dir, "pages"), F.col("page_id")
+    url = F.when(k % 4 == 1, F.concat("url", F.lit("/"))).when(k % 4 == 2, F.concat("url", F.lit("?x=1#y"))).when(k % 4 == 3, F.replace("url", F.lit("e"), F.lit("%65"))).otherwise(F.col("url"))
+    path = F.regexp_replace(F.regexp_replace("url", "^[A-Za-z]+://[^/?#]*", ""), "^/+|[?#].*$|/+$", "")
+    return integrity.unmatched_urls(own.select(url.alias("url")), own.where("page_id % 3 = 0").select(F.when(k % 2 == 0, F.concat(path, F.lit("/index.html"))).otherwise(path).alias("path")))
 
 
 @query("""
@@ -49,12 +56,15 @@ def coherence_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT p_partkey AS target, 'Modifiant l''Article ' || (p_partkey % 60) || ' et ' || p_name AS title FROM part)
-SELECT DISTINCT s_suppkey AS source, target FROM supplier JOIN t ON regexp_extract(lower(title), 'article ([0-9]+)', 1) = CAST(s_suppkey % 60 AS VARCHAR) WHERE s_suppkey <> target""")
+WITH t AS (SELECT p_partkey AS target, CASE WHEN p_partkey % 50 = 0 THEN 'Modifiant l''Article premier du règlement' WHEN p_partkey % 7 = 0 THEN p_name ELSE 'Modifiant l''Article ' || (p_partkey % 1000) || ' et ' || p_name END AS title FROM part),
+r AS (SELECT s_suppkey AS source, CASE WHEN s_suppkey % 10 = 0 THEN 'premier' ELSE CAST(s_suppkey % 1000 AS VARCHAR) END AS article FROM supplier)
+SELECT source, target FROM r JOIN t ON contains(lower(strip_accents(title)), 'article ' || article) WHERE source <> target""")
 def amending_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refs = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source"), (F.col("s_suppkey") % 60).cast("string").alias("article"))
-    docs = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("target"), F.concat(F.lit("Modifiant l'Article "), (F.col("p_partkey") % 60).cast("string"), F.lit(" et "), "p_name").alias("title"))
-    return integrity.amending(refs, docs)
+    """Suppliers as references to articles, parts as texts whose titles name some; 3 is held by 37."""
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    refs = table(spark, sf_dir, "supplier").select(s.alias("source"), F.when(s % 10 == 0, "premier").otherwise((s % 1000).cast("string")).alias("article"))
+    title = F.when(k % 50 == 0, "Modifiant l'Article premier du règlement").when(k % 7 == 0, F.col("p_name")).otherwise(F.concat(F.lit("Modifiant l'Article "), (k % 1000).cast("string"), F.lit(" et "), "p_name"))
+    return integrity.amending(refs, table(spark, sf_dir, "part").select(k.alias("target"), title.alias("title")))
 
 
 def _anchored(spark: SparkSession, sf_dir: str) -> DataFrame:

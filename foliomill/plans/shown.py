@@ -72,14 +72,15 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH f AS (SELECT p_partkey AS file, ['Décision_n°', 'instruction', 'Avis', '_ CIRCULAIRE _'][p_partkey % 4 + 1] || '  ' || p_name || '_v1.' || p_partkey || '.pdf' AS name FROM part),
+WITH f AS (SELECT p_partkey AS file, ['Décision_n°', 'instruction', 'Avis', '_ CIRCULAIRE _'][p_partkey % 4 + 1] || '  ' || repeat(p_name || ' ', 1 + p_partkey % 5) || '_v1.' || p_partkey || '.pdf' AS name FROM part),
 t AS (SELECT file, name, trim(regexp_replace(replace(regexp_replace(name, '[.][^.]*$', ''), '_', ' '), '\\s+', ' ', 'g')) AS title FROM f)
-SELECT file, title, 'apport_' || substr(trim(regexp_replace(lower(strip_accents(replace(title, '°', ''))), '[^a-z0-9]+', '-', 'g'), '-'), 1, 90) AS doc,
+SELECT file, title, 'apport_' || substr(trim(regexp_replace(lower(strip_accents(replace(title, '°', ''))), '[^a-z0-9]+', '-', 'g'), '-'), 1, 80) AS doc,
   CASE lower(split_part(title, ' ', 1)) WHEN 'décision' THEN 'decision' WHEN 'instruction' THEN 'instruction' WHEN 'circulaire' THEN 'circulaire' ELSE 'autre' END AS type FROM t""")
 def deposited_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as files; most names are longer than an id shows."""
     k = F.col("p_partkey")
     first = F.get(F.array(*map(F.lit, ("Décision_n°", "instruction", "Avis", "_ CIRCULAIRE _"))), (k % 4).cast("int"))
-    name = F.concat(first, F.lit("  "), "p_name", F.lit("_v1."), k.cast("string"), F.lit(".pdf"))
+    name = F.concat(first, F.lit("  "), F.repeat(F.concat("p_name", F.lit(" ")), (k % 5 + 1).cast("int")), F.lit("_v1."), k.cast("string"), F.lit(".pdf"))
     return incremental.deposited(table(spark, sf_dir, "part").select(k.alias("file"), name.alias("name"))).select("file", "title", "doc", "type")
 
 
