@@ -79,6 +79,15 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+def grouped(docs: DataFrame, text_col: str, name: str, rows: int, size: int) -> DataFrame:
+    """docs with a group (name) of up to ``rows`` rows and ``size`` bytes of text; only a text of more is a group of its own.
+
+    Rows that follow each other and whose texts have as many bytes, up to a factor of two, are a group."""
+    row, kind = "__foliomill_row", F.ceil(F.log2(F.octet_length(F.coalesce(col(text_col), F.lit(""))) + 1))
+    most = F.least(F.lit(rows), F.greatest(F.lit(1), F.floor(F.lit(float(size)) / F.pow(F.lit(2.0), kind)))).cast("long")
+    return docs.withColumn(row, F.monotonically_increasing_id()).withColumn(name, ((F.col(row) - F.col(row) % most) * 64 + kind).cast("long")).drop(row)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; a text of ASCII alone takes the short way."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -11,10 +11,13 @@ Learning counts every n-gram of every learning row for each language, on
 executors with map-side sums.  An n-gram belongs to all languages in which its
 share is ``SHARE`` or more of its largest share in any; n-grams seen fewer than
 ``LEAST`` times are noise, in a language of little text in proportion fewer: one
-time for every ``PER_TIME`` n-grams of its text.  All others are gathered as
-(n-gram, word, mask), and the table's length follows their number, so neither
-languages nor n-grams are cut; what is gathered and broadcast grows with the
-distinct n-grams of the languages.
+time for every ``PER_TIME`` n-grams of its text.  All others are kept as
+(n-gram, word, mask), and a table's length follows their number, so neither
+languages nor n-grams are cut.  Their masks are counted first: up to
+``MOST_MASKS`` are gathered and broadcast as one table (of 128 MB at most).  More
+stay a table of Spark: documents are put in groups of ``GROUP`` rows and
+``GROUP_BYTES`` at most (a longer text is one by itself), a shuffle gives each
+group the masks of its own n-grams, and its filters hold these.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; a
 text with letters none of whose n-grams is known gets the commonest language,
@@ -35,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import aside, learned, small_batches, stored
+from .common import aside, grouped, learned, small_batches, stored
 
 GRAM, HASHES, LEAST, SHARE = 3, 2, 5, 0.2
 BITS = 20  # of the table's length; doubled until languages' filters are sparse
@@ -43,6 +46,10 @@ WORD = 64  # languages of one word of a mask
 PER_TIME = 50_000
 #: N-grams of a language that a counting task holds at once.
 HELD = 1 << 20
+#: Masks of up to so many n-grams are broadcast; rows and bytes of a group of documents where they aren't.
+MOST_MASKS, GROUP, GROUP_BYTES = 1 << 20, 2048, 1 << 23
+#: Characters that are looked up at once.
+AT_ONCE = 1 << 20
 
 
 def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,6 +107,17 @@ class Filters:
         fill = np.array([bit_of(table, i).mean() for i in range(len(languages))])
         return cls(languages, table, fill**HASHES)
 
+    @classmethod
+    def met(cls, rows: pa.Table, languages: list[str]) -> Filters:
+        """Filters of the masks (gram, word, mask)."""
+        packed, word, mask = (rows.column(c).to_numpy().astype(np.int64) for c in ("gram", "word", "mask"))
+        if len(languages) <= WORD:
+            return cls.of(packed, mask.view(np.uint64), languages)
+        own, at = np.unique(packed, return_inverse=True)
+        wide = np.zeros((len(own), -(-len(languages) // WORD)), np.uint64)
+        wide[at, word] = mask.view(np.uint64)
+        return cls.of(own, wide, languages)
+
     def containing(self, packed: np.ndarray) -> np.ndarray:
         """The mask of all languages containing each n-gram."""
         shift = np.uint64(64 - (len(self.table).bit_length() - 1))
@@ -108,6 +126,19 @@ class Filters:
             out = out & self.table[(mixed(packed, k) >> shift).astype(np.int64)]
         return out
 
+    def predictions(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """predict() of all texts, some at once."""
+        langs, scores, held, n = [], [np.empty(0)], [], 0
+        for i, t in enumerate(texts):
+            held.append(t)
+            n += len(t)
+            if n >= AT_ONCE or i == len(texts) - 1:
+                some, score = self.predict(held)
+                langs += some
+                scores.append(score)
+                held, n = [], 0
+        return langs, np.concatenate(scores)
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         packed, own, letters = grams(texts)
         n = np.bincount(own, minlength=len(texts)).astype(float)
@@ -119,7 +150,15 @@ class Filters:
         return [self.languages[b] if y else "und" for b, y in zip(best.tolist(), letters.tolist(), strict=True)], np.clip(score, 0, 1)
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Filters:
+@dataclass
+class Spread:
+    """The masks (gram, word, mask) of more n-grams than one table may hold."""
+
+    languages: list[str]
+    masks: DataFrame
+
+
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Filters | Spread:
     """Filters from all rows of docs that have a language."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
 
@@ -161,30 +200,50 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
     kept = top.where((F.col("seen") >= least) & (F.col("share") >= SHARE * F.col("top")))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % WORD)
     masks = stored(kept.groupBy("gram", F.floor(F.col("bit") / WORD).alias("word")).agg(F.bit_or(bit).alias("mask")), "masks")
-    packed, word, mask = (x.to_numpy().astype(np.int64) for x in masks.select("gram", "word", "mask").toArrow().columns)
-    if len(languages) <= WORD:
-        return Filters.of(packed, mask.view(np.uint64), languages)
-    own, at = np.unique(packed, return_inverse=True)
-    wide = np.zeros((len(own), -(-len(languages) // WORD)), np.uint64)
-    wide[at, word] = mask.view(np.uint64)
-    return Filters.of(own, wide, languages)
+    words = -(-len(languages) // WORD)
+    if masks.count() * words > MOST_MASKS:
+        return Spread(languages, masks)
+    return Filters.met(masks.select("gram", "word", "mask").toArrow(), languages)  # MOST_MASKS rows at most
 
 
-def identify(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score added; the filters are broadcast once."""
+def identify(docs: DataFrame, filters: Filters | Spread, text_col: str = "text") -> DataFrame:
+    """docs with lang_pred and score added; filters of bounded size are broadcast once."""
     docs, names = aside(docs, ["lang_pred", "score"])
     kept, text_col = docs.columns, names[text_col]
+    schema = T.StructType([*(f for f in docs.schema if f.name in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    small_batches(docs.sparkSession)
+    if isinstance(filters, Spread):
+        return by_groups(docs, filters, text_col, schema)
     shared = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.table, filters.false))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Filters(*shared.value)
         for part in parts:
             texts = [x.as_py() or "" for x in part.column(part.schema.get_field_index(text_col))]
-            langs, score = own.predict(texts) if own.languages else (["und"] * len(texts), np.zeros(len(texts)))
+            langs, score = own.predictions(texts) if own.languages else (["und"] * len(texts), np.zeros(len(texts)))
             yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(langs, pa.string()), pa.array(score, pa.float64())], [*kept, "lang_pred", "score"])
 
-    small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, T.StructType([*(f for f in docs.schema if f.name in kept), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, schema)
+
+
+def by_groups(docs: DataFrame, spread: Spread, text_col: str, schema: T.StructType) -> DataFrame:
+    """identify() with masks of any number: each group of rows meets those of its own n-grams."""
+    group, kept, languages = "__foliomill_group", docs.columns, spread.languages
+    numbered = stored(grouped(docs, text_col, group, GROUP, GROUP_BYTES), "grouped")
+
+    def wanted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            owner, texts = part.column(1).to_pylist(), [x.as_py() or "" for x in part.column(0)]
+            for own in sorted(set(owner)):
+                packed = np.unique(grams([t for t, g in zip(texts, owner, strict=True) if g == own])[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(packed), own, np.int64)), pa.array(packed)], [group, "gram"])
+
+    def predicted(left: pa.Table, right: pa.Table) -> pa.Table:
+        langs, score = Filters.met(right, languages).predictions([x.as_py() or "" for x in left.column(text_col)])
+        return pa.table([*(left.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"])
+
+    met = numbered.select(text_col, group).mapInArrow(wanted, f"{group} long, gram long").distinct().join(spread.masks, "gram")
+    return numbered.groupBy(group).cogroup(met.groupBy(group)).applyInArrow(predicted, schema)
 
 
 def learning_rows(docs: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ No document is scored by a model that has counted it.  Documents fall into
 ``FOLDS`` folds by their ids, and those of a fold are scored by two models of
 all other folds.  A table of every gram of every document holds its losses under
 the models of each fold, reckoned by joins.  Up to ``MOST_GRAMS`` grams are
-broadcast; if there are more, documents are put in groups of ``GROUP`` rows, and
-each group is given the losses of its own grams by a shuffle.
+broadcast; if there are more, documents are put in groups of ``GROUP`` rows and
+``GROUP_BYTES`` at most (a longer text is one by itself), and each group is given
+the losses of its own grams by a shuffle.
 
 A document's score is the mean over its tokens of loss(target) -
 loss(background), in bits: below 0 it is more like the target.
@@ -38,15 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import aside, small_batches, stored
+from .common import aside, grouped, small_batches, stored
 
 ORDER, LEAST, ALPHA, FOLDS = 4, 5, 8.0, 4
 #: Bits of a token in a pair of tokens; a gram is two pairs, the older and the newer.
 TOKEN_BITS = 21
 #: Losses of up to so many grams are broadcast.
 MOST_GRAMS = 1 << 20
-#: Rows of a group of documents where they aren't, and grams that a counting task holds at once.
-GROUP, HELD = 2048, 1 << 21
+#: Rows and bytes of a group of documents where they aren't, and grams that a counting task holds at once.
+GROUP, GROUP_BYTES, HELD = 2048, 1 << 25, 1 << 21
 #: Ids of ids sets up to this size are broadcast.
 MOST_IDS = 4_000_000
 #: Characters worked on at once.
@@ -259,8 +260,7 @@ def score(docs: DataFrame, target_ids: DataFrame, text_col: str = "text", folds:
 def by_groups(docs: DataFrame, model: DataFrame, ids: Broadcast, text_col: str, fold: str, kept: list[str], schema: T.StructType, size: int, folds: int) -> DataFrame:
     """score() with a model of any size: each group of rows meets the losses of its own grams."""
     group = "__foliomill_group"
-    row = F.monotonically_increasing_id()
-    numbered = stored(docs.select(*kept, text_col, fold).withColumn(group, row - row % GROUP), "grouped")
+    numbered = stored(grouped(docs.select(*kept, text_col, fold), text_col, group, GROUP, GROUP_BYTES), "grouped")
 
     def wanted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []

@@ -9,12 +9,17 @@ capacity; what overflows continues clockwise to the next shards with room.
 The ring has 2^14 places.  Only the number of rows at each place reaches the
 driver, as many figures whatever the input; it fixes which ranks at a place go
 to which shard, and from which slot on.  A row's rank at its place is found by
-one shuffle of (doc_id, size, checksum), without texts, over all places.
+one shuffle of (doc_id, size, checksum), without texts, over all places.  A place
+of more than ``HOT`` rows, as a null or repeated doc_id makes, is cut into chunks
+by a hash of the whole row and its number, so no task ranks more than about as
+many; a chunk's ranks go on after those of the chunks before it.
 
 Defined cases: a null doc_id hashes like a value of its own; a null text has
 size 8 and checksum 0; repeated rows are separate rows, which may go to
-different shards; an empty table gives an empty result; further columns are
-ignored by ``assign``.
+different shards; which of the rows of one place move on is a tie that their hash,
+then their values, decide; texts may be of any length and only their size and
+checksum travel; an empty table gives an empty result; further columns, whatever
+their names, are ignored by ``assign``.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ from .common import stored
 
 VNODES = 128
 BITS = 14
+#: Rows of a place that one task ranks.
+HOT = 1 << 20
 
 
 def owners(shards: int, vnodes: int = VNODES) -> list[int]:
@@ -90,11 +97,25 @@ def assign(docs: DataFrame, shards: int = 24, vnodes: int = VNODES, id_col: str
         (F.octet_length(raw) + 8).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
         F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).alias("point"),
+        F.monotonically_increasing_id().alias("row"),
     )
     rows = stored(rows, "ring").withColumn("place", F.shiftrightunsigned("point", 64 - BITS).cast("int"))
     found = {r["place"]: r["count"] for r in rows.groupBy("place").count().collect()}  # 2^BITS figures at most
     pieces = deal([found.get(p, 0) for p in range(1 << BITS)], home, shards)
     table = rows.sparkSession.createDataFrame([(p, b, e, s, t, home[p]) for p, own in enumerate(pieces) for b, e, s, t in own], "place int, begin long, end long, shard int, first long, home int")
-    rank = F.row_number().over(Window.partitionBy("place").orderBy("point", "doc_id", "size", "text_crc32")) - 1
-    met = rows.withColumn("rank", rank).join(F.broadcast(table), "place").where("rank >= begin and rank < end")  # as many rows as places and shards
+    met = ranked(rows, [(p, -(-n // HOT)) for p, n in found.items() if n > HOT]).join(F.broadcast(table), "place").where("rank >= begin and rank < end")  # as many rows as places and shards
     return met.select("doc_id", "size", "text_crc32", "home", "shard", (F.col("first") + F.col("rank") - F.col("begin")).alias("slot"))
+
+
+def ranked(rows: DataFrame, hot: list[tuple[int, int]]) -> DataFrame:
+    """rows with rank, from 0, at their place; hot: places and the chunks that their rows are ranked in."""
+    own = ["doc_id", "size", "text_crc32"]
+    at = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("point", *own)) - 1
+    if not hot:
+        return rows.withColumn("rank", at("place"))
+    chunks = F.broadcast(rows.sparkSession.createDataFrame(hot, "place int, chunks long"))  # at most as many rows as places
+    cut = rows.join(chunks, "place", "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64(*own, "row"), F.col("chunks")), F.lit(0)))
+    sizes = cut.where("chunks is not null").groupBy("place", "chunk").agg(F.count(F.lit(1)).alias("n"))  # a row for each HOT rows of the input
+    before = F.sum("n").over(Window.partitionBy("place").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("place", "chunk", F.coalesce(before, F.lit(0)).alias("before"))
+    return cut.withColumn("at", at("place", "chunk")).join(sizes, ["place", "chunk"], "left").withColumn("rank", F.col("at") + F.coalesce("before", F.lit(0)))

@@ -170,3 +170,29 @@ def test_scores_of_odd_tables(spark):
     got = lmscore.score(documents(spark).select("doc_id", "text", "lang"), none)
     assert got.count() == len(TEXTS) and got.columns == ["doc_id", "lang", "n_tokens", "target_loss", "background_loss", "score"]
     assert lmscore.score(documents(spark, [], []).select("doc_id", "text"), none).count() == 0
+
+
+def test_languages_of_spread_masks_equal_those_of_one_table(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    own = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 34"), (-4, "word " * 40_000)], "doc_id long, text string"))
+    one = {r["doc_id"]: r for r in langid.identify(own, langid.train(docs)).collect()}
+    monkeypatch.setattr(langid, "MOST_MASKS", 0)
+    monkeypatch.setattr(langid, "GROUP", 16)
+    monkeypatch.setattr(langid, "GROUP_BYTES", 1 << 14)
+    spread = langid.train(docs)
+    assert isinstance(spread, langid.Spread)
+    got = {r["doc_id"]: r for r in langid.identify(own, spread).collect()}
+    assert got.keys() == one.keys() and len(got) == own.count()
+    for i, r in got.items():
+        assert r["lang_pred"] == one[i]["lang_pred"], i
+        assert abs(r["score"] - one[i]["score"]) < 0.02, i
+
+
+def test_groups_are_bounded_in_rows_and_bytes(spark):
+    from foliomill.llm.common import grouped
+
+    sizes = [0, 1, 3, 100, 1000, 5000, 70_000] * 40
+    docs = spark.createDataFrame([("x" * n,) for n in sizes], "text string").coalesce(1)
+    rows = grouped(docs, "text", "g", 16, 20_000).groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("size")).collect()
+    assert sum(r["n"] for r in rows) == len(sizes)
+    assert all(r["n"] <= 16 and (r["size"] <= 20_000 or r["n"] == 1) for r in rows) and max(r["n"] for r in rows) > 1

@@ -43,3 +43,23 @@ def test_rows_law_sizes_and_checksums(spark):
 
 def test_empty_table(spark):
     assert sharding.assign(documents(spark, [], [])).count() == 0
+
+
+def test_hot_places_are_cut_into_chunks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "HOT", 20)
+    texts = TEXTS * 60
+    ids = [None if i % 3 == 0 else i % 40 if i % 3 == 1 else i for i in range(len(texts))]  # a third without an id, a third of few ids
+    rows = sharding.assign(documents(spark, texts, ids), shards=5).collect()
+    sizes = Counter(r["shard"] for r in rows)
+    assert sum(sizes.values()) == len(texts) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n)) for s, n in sizes.items())
+    assert Counter((r["doc_id"], r["size"]) for r in rows) == Counter((i, len((t or "").encode()) + 8) for i, t in zip(ids, texts, strict=True))
+
+
+def test_few_rows_move_under_loads():
+    home, grown = sharding.owners(24), sharding.owners(25)
+    counts = [(p * 7919) % 11 for p in range(len(home))]
+    a, b = sharding.deal(counts, home, 24), sharding.deal(counts, grown, 25)
+    of = lambda pieces: [s for begin, end, s, _ in pieces for _ in range(begin, end)]
+    moved = sum(x != y for p, q in zip(a, b, strict=True) for x, y in zip(of(p), of(q), strict=True))
+    assert 0 < moved < 0.1 * sum(counts)
