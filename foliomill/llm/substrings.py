@@ -35,7 +35,7 @@ length.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -266,17 +266,21 @@ def spans(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> Data
     some = stored(some.groupBy("digest").agg(F.collect_list(run).alias("runs")), "candidates")  # runs of one text
     # one row of each text: copies are combined in their tasks
     once = own.groupBy(F.unhex(F.sha2("text", 256)).alias("digest")).agg(F.any_value("text").alias("text"))
-    part = lambda start, n: F.array_join(F.slice("words", start + 1, n), " ")
+    part = lambda words, start, n: F.array_join(F.slice(words, start + 1, n), " ")
 
-    def met(chosen: DataFrame) -> DataFrame:
-        return once.join(chosen, "digest").select("digest", word_array(F.col("text")).alias("words"), F.explode("runs").alias("r"))
+    def met(heavy: bool, each: Callable[[Column, Column], Column]) -> DataFrame:
+        """A row for each value of each(words, run) over the runs of a text: cut within the row, so that no row but it holds all words."""
+        runs_ = some.select("digest", F.filter("runs", lambda r: r["heavy"] == heavy).alias("runs")).where("size(runs) > 0")
+        pieces = F.transform(F.array(word_array(F.col("text"))), lambda w: F.flatten(F.transform("runs", lambda r: each(w, r))))
+        return once.join(runs_, "digest").select("digest", F.explode(F.get(pieces, F.lit(0))).alias("r")).select("digest", "r.*")
 
-    light = met(some).where("not r.heavy").select("r.gram", "digest", "r.start", part(F.col("r.start"), F.col("r.size") + window - 1).alias("words"))
+    light = met(False, lambda w, r: F.array(F.struct(r["gram"].alias("gram"), r["start"].alias("start"), part(w, r["start"], r["size"] + window - 1).alias("words"))))
+    light = light.select("gram", "digest", "start", "words")
     found = stored(light.repartition("gram").sortWithinPartitions("gram").mapInArrow(_grown(window), SPANS), "trees")
-    hot = some.where(F.exists("runs", lambda r: r["heavy"]))
-    if not hot.isEmpty():  # else texts needn't be read once more
-        each = met(hot).where("r.heavy").select("digest", "words", F.explode(F.sequence("r.start", F.col("r.start") + F.col("r.size") - 1)).alias("begin"))
-        each = stored(each.select(F.unhex(F.sha2(part(F.col("begin"), F.lit(window)), 256)).alias("prefix"), "digest", "begin"), "prefixes")
+    if not some.where(F.exists("runs", lambda r: r["heavy"])).isEmpty():  # else texts needn't be read once more
+        prefix = lambda w, i: F.unhex(F.sha2(part(w, i, F.lit(window)), 256)).alias("prefix")
+        each = met(True, lambda w, r: F.transform(F.sequence(r["start"], r["start"] + r["size"] - 1), lambda i: F.struct(prefix(w, i), i.alias("begin"))))
+        each = stored(each.select("prefix", "digest", "begin"), "prefixes")
         twice = each.groupBy("prefix").count().where("count > 1").select("prefix")
         whole = each.join(stored(twice, "twice"), "prefix", "left_semi")
         found = found.unionByName(whole.select("digest", "begin", (F.col("begin") + window).alias("end")))
