@@ -76,12 +76,19 @@ SELECT query, doc, score, CAST(rank AS INTEGER) AS rank FROM (
 _COVER = "raw * (0.35::DOUBLE + 0.65::DOUBLE * least(matched, useful) / useful)"
 
 
-_WRITTEN: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame, DataFrame]] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[DataFrame, DataFrame, DataFrame, DataFrame]] = {}
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> str:
+    """What the input's files are: their paths, sizes and times, as one figure; no column is read."""
+    names = [table(spark, sf_dir, name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct() for name in ("documents", "labels")]
+    one = names[0].unionByName(names[1]).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")).alias("h"))
+    return str(tuple(one.collect()[0]))  # one row
 
 
 def shared_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Indexed documents, postings, statistics and the terms asked for: written once in a session for each input, read by every search."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Indexed documents, postings, statistics and the terms asked for: written once in a session for each state of the input's files, read by every search."""
+    key = (spark.sparkContext.applicationId, sf_dir, _listing(spark, sf_dir))
     if key not in _WRITTEN:
         docs, postings, stats = index.write(indexed(spark, sf_dir))
         terms = stored(search.expanded(search.query_terms(asked(spark)), postings.select("term").distinct()), "terms")
