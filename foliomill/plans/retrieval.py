@@ -48,16 +48,18 @@ posting AS (
   SELECT term, doc, least(tf, 255) AS tf FROM (
     SELECT *, row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc) AS r, count(*) OVER (PARTITION BY term) AS df FROM tf)
   WHERE r <= 400 AND NOT (length(term) <= 4 AND df > (SELECT n FROM stats) * 0.75))"""
-_TERMS = f""",
+_WORDS = f""",
 asked(query, text) AS (VALUES {_ASKED}),
-word AS (SELECT query, generate_subscripts(w, 1) AS place, unnest(w) AS word FROM (SELECT query, {tokens('text')} AS w FROM asked)),
+word AS (SELECT query, generate_subscripts(w, 1) AS place, unnest(w) AS word FROM (SELECT query, {tokens('text')} AS w FROM asked)),"""
+_EXPANDED = """
 voc AS (SELECT DISTINCT term FROM posting),
 exact AS (SELECT query, place, word, term FROM word JOIN voc ON term = word),
 prefix AS (
   SELECT query, place, word, term FROM (
-    SELECT *, row_number() OVER (PARTITION BY query, place ORDER BY CASE WHEN regexp_full_match(term, '0|[1-9][0-9]{{0,8}}') THEN CAST(term AS BIGINT) END NULLS LAST, term) AS r
+    SELECT *, row_number() OVER (PARTITION BY query, place ORDER BY CASE WHEN regexp_full_match(term, '0|[1-9][0-9]{0,8}') THEN CAST(term AS BIGINT) END NULLS LAST, term) AS r
     FROM word JOIN voc ON starts_with(term, word) WHERE length(word) >= 4 AND word NOT IN (SELECT term FROM voc)) WHERE r <= 24),
 term AS (SELECT * FROM exact UNION ALL SELECT * FROM prefix)"""
+_TERMS = _WORDS + _EXPANDED
 _SCORES = """,
 df AS (SELECT term, count(*) AS df FROM posting GROUP BY term),
 useful AS (SELECT query, count(DISTINCT place) AS useful FROM term GROUP BY query),
@@ -208,9 +210,12 @@ passage AS (
   FROM score JOIN words USING (query))"""
 
 
+def lines(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("segment", "text"))
+
+
 def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("segment", "text"))
-    return passages.scored(lines, asked(spark), keys=["doc_id", "segment"])
+    return passages.scored(lines(table(spark, sf_dir, "documents")), asked(spark), keys=["doc_id", "segment"])
 
 
 @query(_SEGMENTS + " SELECT query, doc_id, segment, score, coverage FROM passage")
