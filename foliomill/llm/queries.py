@@ -98,7 +98,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-_NOTICE = " OR ".join([f"starts_with(low, '{rules.OPENING}')", *(f"contains(low, '{x}')" for x in rules.NOTICES)])
+_QUOTED = lambda x: x.replace("'", "''")
+_NOTICE = " OR ".join([f"starts_with(low, '{rules.OPENING}')", *(f"contains(low, '{_QUOTED(x)}')" for x in rules.NOTICES)])
 OP7_SQL = rf"""
 WITH doc AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT k, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT k, w, unnest(range(1, len(w) - 6)) AS i FROM doc)),
@@ -107,7 +108,7 @@ rep AS (SELECT k, count(*) AS n FROM (SELECT DISTINCT k, unnest(range(i, i + 8))
 line AS (SELECT k, unnest(string_split(text, chr(10))) AS line FROM doc),
 m AS (SELECT k, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w, lower(line) AS low, length(regexp_replace(line, '[^\p{{L}}]+', '', 'g')) AS letters, length(regexp_replace(line, '[^\p{{Lu}}]+', '', 'g')) AS upper,
   length(regexp_replace(line, '[^#*$%&|<>]+', '', 'g')) AS symbols, length(regexp_replace(line, '[^|›»]+', '', 'g')) AS separators FROM line),
-f AS (SELECT k, line, len(w) AS n, len(w) > 0 AND ((separators >= 3 AND 3 * separators >= len(w) - separators) OR (letters >= 20 AND 10 * upper > 7 * letters) OR 3 * symbols > len(w) OR {_NOTICE}
+f AS (SELECT k, line, len(w) AS n, len(w) > 0 AND ((separators >= 3 AND 3 * separators >= len(w) - separators) OR (letters >= 20 AND 10 * upper > 7 * letters) OR 3 * symbols > len(w) OR (len(w) <= 30 AND ({_NOTICE})) OR NOT regexp_matches(line, '{_QUOTED(rules.END_MARK)}')
   OR len(list_filter(range(1, len(w) - 6), lambda i: len(list_distinct(w[i:i + 7])) = 1)) > 0) AS fails FROM m),
 own AS (SELECT k, CAST(coalesce(sum(n) FILTER (NOT fails), 0) AS BIGINT) AS left_words, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS dup FROM f GROUP BY k),
 base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,

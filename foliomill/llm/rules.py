@@ -1,8 +1,10 @@
 """Quality rules, line first, with DataFrame functions only.
 
-A line of a document fails if it is navigation (three or more separators
-between short cells), boilerplate (a licence, cookie, rights or subscription
-notice), shouting (nearly all letters upper case), symbol noise (more than one
+A line of a document fails if no sentence ends in it (no end mark, neither at its
+end nor within it: headings, menus, lists of words), if it is navigation (three or
+more separators between short cells), boilerplate (a licence, cookie, rights or
+subscription notice in English, French, German or Spanish, ``MOST_NOTICE`` words
+at most), shouting (nearly all letters upper case), symbol noise (more than one
 symbol of ``#*$%&|<>`` for every three words), or one word over and over.  Lines
 that fail are removed.  A document is rejected if it fails the base rules, or
 if its failing lines hold over ``LOSS`` of its words, or if fewer than
@@ -29,8 +31,17 @@ from .common import SPACE, aside, col
 SYMBOLS = "#*$%&|<>"  # within brackets
 GRAM, LOSS, LEAST_WORDS = 8, 0.5, 20
 WORD = f"[^{SPACE}]++"
+#: A sentence's end: a mark before white space or the line's end, closing quotes and brackets between; or a mark of scripts without spaces.
+END_MARK = r"""[.!?:;…]["'»”’)\]]*(?:[\x20\x09-\x0D]|\z)|[。！？；।؟]"""
+#: Notices are lines of this many words at most: longer ones are text that mentions a phrase.
+MOST_NOTICE = 30
 #: Phrases of boilerplate lines, in lower case; the last only opens a line.
-NOTICES = ("licensed under ", "all rights reserved", "terms of use", "terms of service", "privacy policy", "accept cookies", "accept all cookies", "subscribe to our ", "subscribe to the ", "sign up for ", "click here")
+NOTICES = (
+    "licensed under ", "all rights reserved", "terms of use", "terms of service", "privacy policy", "accept cookies", "accept all cookies", "subscribe to our ", "subscribe to the ", "sign up for ", "click here",
+    "tous droits réservés", "conditions d’utilisation", "conditions d'utilisation", "politique de confidentialité", "accepter les cookies", "accepter tous les cookies", "abonnez-vous à ", "cliquez ici",
+    "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "cookies akzeptieren", "newsletter abonnieren", "klicken sie hier", "hier klicken",
+    "todos los derechos reservados", "términos de uso", "condiciones de uso", "política de privacidad", "aceptar cookies", "aceptar todas las cookies", "suscríbete a ", "haz clic aquí", "haga clic aquí",
+)
 OPENING = "copyright "
 
 
@@ -80,7 +91,8 @@ def failing(m: Column) -> Column:
     notice = F.startswith(m["low"], F.lit(OPENING))
     for phrase in NOTICES:
         notice = notice | F.contains(m["low"], F.lit(phrase))
-    return (m["words"] > 0) & (navigation | shouting | (3 * m["symbols"] > m["words"]) | notice | one_word)
+    unmarked = ~m["line"].rlike(END_MARK)
+    return (m["words"] > 0) & (unmarked | navigation | shouting | (3 * m["symbols"] > m["words"]) | ((m["words"] <= MOST_NOTICE) & notice) | one_word)
 
 
 def annotate(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -38,6 +38,19 @@ def test_lines_go_first_and_documents_that_lose_too_much(spark):
     assert got[1]["cleaned"] == GOOD
 
 
+def test_punctuation_menus_and_notices(spark):
+    long = " ".join(f"word{i}" for i in range(40)) + ", and then they said: Accept all cookies. " + " ".join(f"more{i}" for i in range(40)) + "."
+    menu = "Home News Sport Weather Travel Culture Music Books Shop Jobs Contact Login\n" * 2
+    texts = [
+        long, menu + " ".join(f"item{i}" for i in range(20)), f"A heading\n{GOOD}", GOOD.removesuffix(".") + " and so it went. It was never told again, or",
+        "\n".join(f"Tous droits réservés {i}, conditions d'utilisation et politique de confidentialité du site." for i in range(5)), "\n".join(f"Alle Rechte vorbehalten, Teil {i} der Nutzungsbedingungen." for i in range(5)),
+        " ".join(f"日本{i}。" for i in range(30)), f"{GOOD[:-1]}.”\n(Nobody else had heard of it, or so they said!)",
+    ]
+    got = {x["doc_id"]: x for x in rules.annotate(documents(spark, texts)).collect()}
+    assert [got[i]["kept"] for i in range(8)] == [True, False, True, True, False, False, True, True]
+    assert got[2]["cleaned"] == GOOD and got[0]["cleaned"] == long
+
+
 def test_odd_rows(spark):
     got = {x["doc_id"]: x for x in rules.annotate(documents(spark)).collect()}
     assert not got[0]["kept"] and got[0]["cleaned"] == "" and got[0]["lost"] == 0.0
