@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import references
 
 
 def unmatched_urls(urls: DataFrame, files: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def amending(refs: DataFrame, docs: DataFrame) -> DataFrame:
     found = F.regexp_extract_all(T.normalised(F.col("title")), F.lit(r"article (premier|\d{1,3})"), F.lit(1))
     starts = lambda x: F.when(x == "premier", F.array(x)).otherwise(F.transform(F.sequence(F.lit(1), F.length(x)), lambda n: F.substring(x, F.lit(1), n)))
     named = docs.select("target", F.explode(F.array_distinct(F.flatten(F.transform(found, starts)))).alias("article"))
-    return refs.join(named, "article").where("source <> target").select("source", "target").distinct()
+    return references.paired(refs.select("source", "article"), named, ["article"]).where("source <> target")
 
 
 def html(blocks: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import random
 
-from foliomill.operators import references
+from foliomill.operators import integrity, references
 from foliomill.plans.all import QUERIES
 
 
@@ -27,3 +27,11 @@ def test_each_pair_once(spark):
 
 def test_no_shuffle_of_targets(spark, sf):
     assert not exchanges(QUERIES["reference_targets"](spark, sf))
+
+
+def test_amending_once(spark, sf):
+    refs = [(1, "3"), (1, "37"), (1, "3"), (2, "premier"), (2, "7"), (3, "12"), (None, "3")]
+    docs = [(1, "article 3"), (4, "Article 37 et article 3"), (4, "l'Article premier, article 7"), (5, "ARTICLE 120 et 3"), (6, None), (2, "article premier")]
+    found = integrity.amending(spark.createDataFrame(refs, "source int, article string"), spark.createDataFrame(docs, "target int, title string"))
+    assert sorted(map(tuple, found.collect())) == [(1, 4), (2, 4), (3, 5)]
+    assert not exchanges(found) and not exchanges(QUERIES["amending_texts"](spark, sf))
